@@ -25,7 +25,7 @@ DATE = re.compile(rf"\b(?:\d{{1,2}}\.?\s+)?(?:{MONTHS})\s+\d{{1,4}}(?:,?\s+\d{{4
 NUMBER = re.compile(r"\d+(?:[.,:]\d+)*")
 NAME = re.compile(r"(?<=[a-z,;] )[A-Z][a-z]+(?: [A-Z][a-z]+)*")
 TOKEN = re.compile("[a-z]+|[#@~]")
-SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 6, 3
+SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 4, 2
 
 
 def letters(line: str) -> str:
@@ -65,8 +65,7 @@ def text_lines(chunks: DataFrame, documents: DataFrame, least_letters: int) -> D
 
 
 def line_bands(classes: DataFrame) -> DataFrame:
-    """(line_key, docs, tokens, band): a row for each class of lines and band of its signature; lines under five tokens have the one band of all their tokens."""
-    fields = "line_key long, docs long, line string, band long"
+    """(line_key, docs, band): a row for each class of lines and band of its signature; a line under five tokens is one shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches_of(batches, 4096):
@@ -91,13 +90,12 @@ def line_bands(classes: DataFrame) -> DataFrame:
                     least = np.minimum.reduceat(mix(g ^ U64(0xA5A5 + 7919 * (b * ROWS + r))), first)
                     band = mix(band ^ least)
                 bands.append(band)
-            n = len(lines)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(part.column("line_key").to_numpy(), BANDS)), pa.array(np.tile(part.column("docs").to_numpy(), BANDS)), pa.array(lines * BANDS, pa.string()), pa.array(signed(np.concatenate(bands)))],
-                names=["line_key", "docs", "line", "band"],
-            ) if n else None
+                [pa.array(np.tile(part.column("line_key").to_numpy(), BANDS)), pa.array(np.tile(part.column("docs").to_numpy(), BANDS)), pa.array(signed(np.concatenate(bands)))],
+                names=["line_key", "docs", "band"],
+            )
 
-    return classes.select("source_key", "line_key", "docs", "line").mapInArrow(run, fields)
+    return classes.select("source_key", "line_key", "docs", "line").mapInArrow(run, "line_key long, docs long, band long")
 
 
 def hash_of(tokens: list[str]) -> int:
@@ -125,9 +123,11 @@ def repeated_lines(lines: DataFrame, least_docs: int = 6) -> DataFrame:
     classes = per_document.groupBy("source_key", "line_key").agg(F.count("*").alias("docs"), F.min("line").alias("line"))
     classes = written(classes, "line_classes")
     banded = line_bands(classes)
-    # the most frequent class of each band stands for it; bands of one class with few documents can't grow
-    heads = banded.groupBy("band").agg(F.sum("docs").alias("n"), F.count("*").alias("members"), F.max(F.struct("docs", "line_key", "line")).alias("head")).where((F.col("n") >= least_docs) & (F.col("members") > 1))
-    near = banded.join(heads, "band").where(F.col("line_key") != F.col("head.line_key")).select("line_key", "line", F.col("head.line_key").alias("head_key"), F.col("head.line").alias("head_line")).distinct()
+    # the most frequent class of each band stands for it; bands of one class or with few documents have no cluster to find
+    heads = banded.groupBy("band").agg(F.sum("docs").alias("n"), F.count("*").alias("members"), F.max(F.struct("docs", "line_key")).alias("head")).where((F.col("n") >= least_docs) & (F.col("members") > 1))
+    pairs = banded.join(heads.select("band", F.col("head.line_key").alias("head_key")), "band").where("line_key <> head_key").select("line_key", "head_key").distinct()
+    text = classes.select("line_key", "line")
+    near = pairs.join(text, "line_key").join(text.toDF("head_key", "head_line"), "head_key").select("line_key", "line", "head_key", "head_line")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

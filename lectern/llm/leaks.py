@@ -216,9 +216,9 @@ def p8_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 P8_SQL = """
 with d as (select doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') w from documents where text is not null),
-dg as (select doc_id, unnest(list_transform(generate_series(1, len(w) - 11), lambda i: hash(array_to_string(w[i:i+11], ' ')))) g from d where len(w) >= 12),
+dg as (select doc_id, unnest(list_transform(generate_series(1, len(w) - 11), lambda i: array_to_string(w[i:i+11], ' '))) g from d where len(w) >= 12),
 e as (select item_id, regexp_extract_all(lower(passage), '[a-z0-9]+') w from eval_items union all
       select item_id, regexp_extract_all(lower(question), '[a-z0-9]+') w from eval_items),
-eg as (select item_id, unnest(list_transform(generate_series(1, len(w) - 11), lambda i: hash(array_to_string(w[i:i+11], ' ')))) g from e where len(w) >= 12)
+eg as (select item_id, unnest(list_transform(generate_series(1, len(w) - 11), lambda i: array_to_string(w[i:i+11], ' '))) g from e where len(w) >= 12)
 select distinct doc_id, item_id from dg join eg using (g)
 """

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import boilerplate, leaks, tokenize
+from lectern.llm import boilerplate, leaks, spans, tokenize
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p1_found": spans.p1_found,
+        "p1_shares": spans.p1_shares,
         "p6_found": boilerplate.p6_found,
         "p6_clean": boilerplate.p6_clean,
         "p7_ids": tokenize.p7_ids,
@@ -21,4 +23,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p6_found": boilerplate.P6_SQL, "p8_found": leaks.P8_SQL}
+    return {"p1_found": spans.P1_SQL, "p6_found": boilerplate.P6_SQL, "p8_found": leaks.P8_SQL}
