@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import boilerplate, leaks, spans, tokenize
+from lectern.llm import boilerplate, leaks, levels, spans, tokenize
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p8_found": leaks.p8_found,
         "p8_spans": leaks.p8_spans,
         "p8_clean": leaks.p8_clean,
+        "p9_found": levels.p9_found,
+        "p9_profile": levels.p9_profile,
     }
 
 
