@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import boilerplate, leaks, levels, nearduplicates, spans, tokenize
+from lectern.llm import boilerplate, clusters, leaks, levels, nearduplicates, similar, spans, tokenize
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": spans.p1_found,
         "p1_shares": spans.p1_shares,
+        "p3_found": clusters.p3_found,
+        "p3_clusters": clusters.p3_clusters,
         "p4_found": nearduplicates.p4_found,
         "p4_groups": nearduplicates.p4_groups,
+        "p5_found": similar.p5_found,
+        "p5_neighbours": similar.p5_neighbours,
         "p6_found": boilerplate.p6_found,
         "p6_clean": boilerplate.p6_clean,
         "p7_ids": tokenize.p7_ids,
@@ -27,4 +31,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": spans.P1_SQL, "p4_found": nearduplicates.P4_SQL, "p6_found": boilerplate.P6_SQL, "p8_found": leaks.P8_SQL}
+    return {"p1_found": spans.P1_SQL, "p3_found": clusters.P3_SQL, "p4_found": nearduplicates.P4_SQL, "p5_found": similar.P5_SQL, "p6_found": boilerplate.P6_SQL, "p8_found": leaks.P8_SQL}
