@@ -23,7 +23,9 @@ from lectern.llm.common import U64, WORD, gram_hashes, mix, signed, string_hashe
 from lectern.llm.components import components
 
 SHINGLE, SIMILARITY, LEAST_WORDS = 3, 0.6, 20
-ORDERS, LEAST_OF, DROPPED = 4, 4, 2
+ORDERS, LEAST_OF, DROPPED = 8, 4, 1
+#: Sets up to this size also meet on each of their shingles.
+TINY = 5
 #: Most classes of a variant that make pairs at once; beyond it the exact prefix filter takes over.
 MOST_CLASSES = 100
 
@@ -58,31 +60,36 @@ class Sets:
 
     def set_keys(self) -> np.ndarray:
         total = np.zeros(len(self.rows), U64)
-        np.add.at(total, self.owner, mix(self.hashes ^ U64(0x5851F42D4C957F2D)))
+        if len(self.rows):
+            total = np.add.reduceat(mix(self.hashes ^ U64(0x5851F42D4C957F2D)), np.cumsum(self.size) - self.size)
         return mix(total + self.size.astype(U64))
 
-    def variants(self, orders: int, least_of: int, dropped: int) -> list[np.ndarray]:
-        """Of each text the distinct variants of its fingerprints."""
-        first = np.cumsum(self.size) - self.size
-        keep = least_of - dropped
-        texts, keys = [], []
+    def variants(self, orders: int, least_of: int, dropped: int) -> tuple[np.ndarray, np.ndarray]:
+        """(text, variant) of every text's fingerprints, by text."""
+        n, keep = len(self.rows), least_of - dropped
+        if not n:
+            return np.empty(0, np.int64), np.empty(0, U64)
+        first, none = np.cumsum(self.size) - self.size, np.iinfo(np.uint64).max
+        keys, valid = [], []
         for t in range(orders):
-            order = np.lexsort((mix(self.hashes ^ U64(0x9E37 + 104729 * t)), self.owner))
-            ranked = self.hashes[order]
-            slots = [np.where(self.size > k, ranked[np.minimum(first + k, len(ranked) - 1)], 0) for k in range(least_of)]
+            v = mix(self.hashes ^ U64(0x9E37 + 104729 * t))
+            slots = []
+            for _ in range(least_of):
+                slots.append(np.minimum.reduceat(v, first))
+                v[v == slots[-1][self.owner]] = none
             for chosen in combinations(range(least_of), keep):
-                ok = self.size > chosen[-1]
-                columns = np.sort(np.stack([slots[k] for k in chosen], 1)[ok], 1)
-                key = np.zeros(len(columns), U64)
-                for c in range(keep):
-                    key = mix(key * U64(3) + columns[:, c])
-                texts.append(np.flatnonzero(ok)), keys.append(key)
-        text, key = np.concatenate(texts), np.concatenate(keys)
-        order = np.lexsort((key, text))
-        text, key = text[order], key[order]
-        new = np.concatenate([[True], (key[1:] != key[:-1]) | (text[1:] != text[:-1])]) if len(key) else np.empty(0, bool)
-        text, key = text[new], key[new]
-        return np.split(key, np.cumsum(np.bincount(text, minlength=len(self.rows)))[:-1])
+                key = np.full(n, U64(len(chosen)))
+                for k in chosen:
+                    key = mix(key * U64(3) + slots[k])
+                keys.append(key), valid.append(self.size > chosen[-1])
+        keys, valid = np.stack(keys, 1), np.stack(valid, 1)
+        text, key = np.repeat(np.arange(n), keys.shape[1])[valid.ravel()], keys.ravel()[valid.ravel()]
+        tiny = self.size[self.owner] <= TINY
+        if tiny.any():
+            text, key = np.concatenate([text, self.owner[tiny]]), np.concatenate([key, mix(self.hashes[tiny] + U64(1))])
+            order = np.argsort(text, kind="stable")
+            text, key = text[order], key[order]
+        return text, key
 
 
 def fingerprints(chunks: DataFrame, shingle: int, least_words: int) -> DataFrame:
@@ -95,11 +102,11 @@ def fingerprints(chunks: DataFrame, shingle: int, least_words: int) -> DataFrame
                 s = Sets(part.column(2).to_pylist(), shingle, least_words)
                 if not len(s.rows):
                     continue
-                lists = s.variants(ORDERS, LEAST_OF, DROPPED)
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+                text, variant = s.variants(ORDERS, LEAST_OF, DROPPED)
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(s.rows)))]).astype(np.int32)
                 rows = pa.array(s.rows)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(rows), part.column(1).take(rows), pa.array(signed(s.set_keys())), pa.array(s.size.astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(np.concatenate(lists))))],
+                    [part.column(0).take(rows), part.column(1).take(rows), pa.array(signed(s.set_keys())), pa.array(s.size.astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(variant)))],
                     names=["chunk_id", "document_id", "set_key", "n", "variants"],
                 )
 
@@ -129,11 +136,10 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
     return pairs.join(left, "set_a").join(right, "set_b").select("set_a", "set_b", "content_a", "content_b").mapInArrow(run, "set_a long, set_b long, similarity double")
 
 
-def array_pairs(groups: DataFrame, similarity: float) -> DataFrame:
-    """Pairs within bounded arrays `members` of (set_key, n) whose sizes allow the similarity."""
-    each = groups.select(F.explode("members").alias("x"), "members").select("x", F.explode("members").alias("y"))
-    fits = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * F.lit(similarity) - 1e-9
-    return each.where((F.col("x.set_key") < F.col("y.set_key")) & fits).select(F.col("x.set_key").alias("set_a"), F.col("y.set_key").alias("set_b"))
+def array_pairs(groups: DataFrame) -> DataFrame:
+    """Pairs within bounded arrays `members` of set keys."""
+    each = groups.select(F.explode("members").alias("set_a"), "members").select("set_a", F.explode("members").alias("set_b"))
+    return each.where("set_a < set_b")
 
 
 def prefix_pairs(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -164,12 +170,12 @@ def near_classes(chunks: DataFrame, shingle: int = SHINGLE, similarity: float =
     """members (chunk_id, document_id, set_key, n) and links (set_a, set_b, similarity) between classes of equal sets."""
     sets = written(fingerprints(chunks, shingle, least_words), "fingerprints")
     members = sets.select("chunk_id", "document_id", "set_key", "n").distinct()
-    rows = sets.select("set_key", "n", F.explode("variants").alias("variant"))
+    rows = sets.select("set_key", F.explode("variants").alias("variant"))
     met = rows.groupBy("variant").agg(F.count("*").alias("rows"), F.min("set_key").alias("a"), F.max("set_key").alias("b")).where("a <> b").select("variant", "rows")
     # rows of equal sets count too: where many rows turn out to be few classes, the prefix filter is merely used early
     together = rows.join(met, "variant")
-    groups = together.where(F.col("rows") <= most_classes).groupBy("variant").agg(F.collect_set(F.struct("set_key", "n")).alias("members"))
-    pairs = array_pairs(groups, similarity).distinct()
+    groups = together.where(F.col("rows") <= most_classes).groupBy("variant").agg(F.collect_set("set_key").alias("members"))
+    pairs = array_pairs(groups).distinct()
     hot = written(together.where(F.col("rows") > most_classes).select("set_key").distinct(), "hot_classes")
     pairs = written(pairs, "pairs")
     heads = members.groupBy("set_key").agg(F.min("chunk_id").alias("chunk_id"))
