@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import boilerplate, clusters, leaks, levels, nearduplicates, similar, spans, tokenize
+from lectern.llm import boilerplate, clusters, leaks, levels, nearduplicates, scans, similar, spans, tokenize
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": spans.p1_found,
         "p1_shares": spans.p1_shares,
+        "p2_found": scans.p2_found,
+        "p2_pages": scans.p2_pages,
         "p3_found": clusters.p3_found,
         "p3_clusters": clusters.p3_clusters,
         "p4_found": nearduplicates.p4_found,
