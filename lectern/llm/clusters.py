@@ -20,7 +20,7 @@ from lectern.llm.common import mix, signed, table, written
 from lectern.llm.components import components
 from lectern.llm.vectors import DIMENSION, Lists, fit_sample, groups_of, listed, matrix, n_lists, one_vector, unit, usable
 
-PER_CELL, MARGIN, MOST_MEMBERSHIPS, REDUCED = 600, 0.15, 4, 40
+PER_CELL, MARGIN, MOST_MEMBERSHIPS, REDUCED = 600, 0.2, 3, 40
 #: Members of a cluster that one task compares; larger clusters are compared block by block.
 MOST_TOGETHER = 8_192
 
@@ -117,7 +117,7 @@ def clustered(chunks: DataFrame, least: float = 0.85, least_size: int = 5) -> tu
     of = written(of, "record_clusters")
     sizes = of.join(members, ["vec_key", "modality"]).groupBy("cluster").agg(F.count("*").alias("size"), F.min("chunk_id").alias("cluster_id"), F.countDistinct("vec_key").alias("n")).where(F.col("size") >= least_size)
     sizes = written(sizes, "cluster_sizes")
-    in_clusters = written(classes.join(of, ["vec_key", "modality"]).join(sizes, "cluster").select("vec_key", "modality", "cluster", "copies", "vec", "n"), "cluster_vectors")
+    in_clusters = classes.join(of.join(sizes, "cluster"), ["vec_key", "modality"]).select("vec_key", "modality", "cluster", "copies", "vec", "n")
     good = written(similar_throughout(in_clusters.select("cluster", "vec", "n"), least), "clusters")
     out = of.join(good, "cluster").join(sizes.select("cluster", "cluster_id", "size"), "cluster").join(members, ["vec_key", "modality"])
     return out.select("chunk_id", "modality", "vec_key", "cluster", "cluster_id", "size"), in_clusters.join(good, "cluster").drop("n")
