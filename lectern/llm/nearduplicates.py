@@ -23,7 +23,7 @@ from lectern.llm.common import U64, WORD, gram_hashes, mix, signed, string_hashe
 from lectern.llm.components import components
 
 SHINGLE, SIMILARITY, LEAST_WORDS = 3, 0.6, 20
-ORDERS, LEAST_OF, DROPPED = 8, 4, 1
+ORDERS, LEAST_OF, DROPPED = 10, 4, 1
 #: Sets up to this size also meet on each of their shingles.
 TINY = 5
 #: Most classes of a variant that make pairs at once; beyond it the exact prefix filter takes over.
