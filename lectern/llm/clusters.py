@@ -104,11 +104,12 @@ def clustered(chunks: DataFrame, least: float = 0.85, least_size: int = 5) -> tu
     vectors = rows.groupBy("modality", "vec_key").agg(F.first("vec").alias("vec"))
     copies = members.groupBy("modality", "vec_key").agg(F.count("*").cast("int").alias("copies"))
     classes = written(vectors.join(copies, ["modality", "vec_key"]), "classes")
-    sample = fit_sample(classes)
+    n = classes.count()
+    sample = fit_sample(classes, n)
     if not len(sample):
         empty = "vec_key long, modality string, cluster long, copies int, vec binary"
         return spark.createDataFrame([], "chunk_id string, modality string, vec_key long, cluster long, cluster_id string, size long"), spark.createDataFrame([], empty)
-    cells = Lists(sample, n_lists(classes.count(), PER_CELL), MARGIN, MOST_MEMBERSHIPS, REDUCED)
+    cells = Lists(sample, n_lists(n, PER_CELL), MARGIN, MOST_MEMBERSHIPS, REDUCED)
     local = written(local_clusters(listed(classes, cells, ["vec_key", "modality", "copies"]), least), "local_clusters")
     # a record in several local clusters makes them one
     ties = local.groupBy("vec_key", "modality").agg(F.collect_set("local").alias("l")).where("size(l) > 1").select(F.array_min("l").alias("a"), F.explode("l").alias("b"))

@@ -113,6 +113,15 @@ def batches_of(rows: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(kept)
 
 
+def hashed_sample(df: DataFrame, hashed: F.Column, most: int, rows: int) -> DataFrame:
+    """The `most` rows with the least hashes, of `rows` in all: rows far above the expected bound are left out before anything is sorted, so no task gets more than a few times `most`."""
+    share = min(1.0, 2.0 * most / max(1, rows) + 100.0 / max(1, rows))
+    df = df.withColumn("_hash", hashed)
+    if share < 1:
+        df = df.where(F.col("_hash") < -(1 << 63) + int(share * (1 << 64)))
+    return df.orderBy("_hash", *[c for c in df.columns if c != "_hash"]).limit(most).drop("_hash")
+
+
 def words(column) -> F.Column:
     """The words of a string column, on the JVM side."""
     return F.regexp_extract_all(F.lower(column), F.lit("[a-z0-9]+"), F.lit(0))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import table
+from lectern.llm.common import hashed_sample, table
 
 #: At most so many labelled documents are fitted on: those whose ids have the least hashes.
 MOST_LABELLED = 4_000
@@ -232,7 +232,8 @@ def rated(documents: DataFrame, least_tokens: int) -> DataFrame:
 
 def fit(documents: DataFrame, labels: DataFrame, least_tokens: int = 40, most: int = MOST_LABELLED) -> Model:
     """The models, fitted on at most `most` labelled documents (a bounded sample)."""
-    sample = consensus(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    votes = consensus(labels)
+    sample = hashed_sample(votes, F.xxhash64("doc_id"), most, votes.count())
     rows = rated(documents, least_tokens).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "votes").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
     if not len(rows):
         raise ValueError("no labelled document to fit on")

@@ -118,10 +118,11 @@ def class_neighbours(chunks: DataFrame, k: int, least: float, fitted: np.ndarray
     rows = usable(chunks)
     members = written(one_vector(rows.select("chunk_id", "modality", "vec_key")).select("chunk_id", "vec_key"), "members")
     classes = rows.groupBy("vec_key").agg(F.min("chunk_id").alias("chunk_id"), F.first("vec").alias("vec"))
-    sample = fit_sample(rows)
+    n = members.count()
+    sample = fit_sample(rows, n)
     if not len(sample):
         return members, spark.createDataFrame([], "vec_key long, other_key long, other_id string, cosine double")
-    index = Index(sample, n_lists(members.count(), PER_LIST))
+    index = Index(sample, n_lists(n, PER_LIST))
     shared = spark.sparkContext.broadcast(index)
     lists = listed(classes, index.lists, ["vec_key", "chunk_id"]).withColumn("sub", F.lit(0))
     lists = written(lists, "lists")

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm.common import hashed_sample
+
 DIMENSION = 64
 #: Vectors that indexes are fitted on: those whose keys are least. Every vector is indexed.
 MOST_FITTED = 32_768
@@ -100,13 +102,13 @@ class Lists:
         return row, top[row, col]
 
 
-def fit_sample(vectors: DataFrame, most: int = MOST_FITTED) -> np.ndarray:
-    """A bounded sample of distinct vectors, the same for the same data."""
-    rows = vectors.select("vec_key", "vec").orderBy("vec_key", "vec").limit(most).toArrow()
-    if not rows.num_rows:
+def fit_sample(vectors: DataFrame, rows: int, most: int = MOST_FITTED) -> np.ndarray:
+    """A bounded sample of distinct vectors out of `rows`, the same for the same data."""
+    found = hashed_sample(vectors.select("vec_key", "vec"), F.col("vec_key"), most, rows).toArrow()
+    if not found.num_rows:
         return np.empty((0, DIMENSION), np.float32)
-    key = rows.column("vec_key").to_numpy()
-    return matrix(rows.column("vec"))[np.concatenate([[True], key[1:] != key[:-1]])]
+    key = found.column("vec_key").to_numpy()
+    return matrix(found.column("vec"))[np.concatenate([[True], key[1:] != key[:-1]])]
 
 
 def groups_of(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
