@@ -11,21 +11,21 @@ from lectern.functions.text import SPACE, count_of, strip
 CODE_LINE = [
     rf"^(def|class|import|from|if|for|while|try|except|with)[{SPACE}]",
     rf"^[a-zA-Z_][a-zA-Z0-9_]*[{SPACE}]*[=:]",
-    r"^[{}()\[\]]$",
-    r"^#.*$",
+    r"^[{}()\[\]]\z",
+    r"^#[^\n]*\z",
 ]
 # The rules that make a line of a page look like code, in the order in which they are tried.
 CODE_LIKE = [
-    rf"^[A-Za-z_][A-Za-z0-9_]*[{SPACE}]*[:=][{SPACE}]*[^;]+;?$",
+    rf"^[A-Za-z_][A-Za-z0-9_]*[{SPACE}]*[:=][{SPACE}]*[^;]+;?\z",
     rf"^(if|for|while|def|class|import|from)[{SPACE}]+",
-    rf"^[A-Za-z_][A-Za-z0-9_]*[{SPACE}]*\([^)]*\)[{SPACE}]*\{{?$",
+    rf"^[A-Za-z_][A-Za-z0-9_]*[{SPACE}]*\([^)]*\)[{SPACE}]*\{{?\z",
     rf"^[A-Za-z_][A-Za-z0-9_]*[{SPACE}]*\.[{SPACE}]*[A-Za-z_][A-Za-z0-9_]*[{SPACE}]*\(",
-    r"^<!--.*-->$",
-    r"^//.*$",
-    r"^/\*.*\*/$",
-    r"^#.*$",
+    r"^<!--[^\n]*-->\z",
+    r"^//[^\n]*\z",
+    r"^/\*[^\n]*\*/\z",
+    r"^#[^\n]*\z",
 ]
-IMAGE_LINE = r"(?i)\.(jpg|jpeg|png|gif|bmp|tiff|svg)\b|image:|img:"
+IMAGE_LINE = r"(?i)\.(jpg|jpeg|png|gif|bmp|tiff|svg)([^\p{L}\p{N}_]|\z)|image:|img:"
 FIGURE_LINE = rf"(?i)figure[{SPACE}]+\p{{Nd}}+|fig\.[{SPACE}]*\p{{Nd}}+|fig[{SPACE}]+\p{{Nd}}+"
 
 

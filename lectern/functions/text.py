@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 import unicodedata
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space in the sense of Unicode strings, written so that java.util.regex and RE2 read it alike.
@@ -71,3 +71,13 @@ def is_upper(c: Column) -> Column:
 def count_of(c: Column, what: str) -> Column:
     """Occurrences of a literal."""
     return F.length(c) - F.length(F.replace(c, F.lit(what), F.lit("")))
+
+
+def pinned(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are computed once for each row, however often later expressions name them.
+
+    The optimizer puts a column's expression in place of its name; inside lambdas that would compute it once for each
+    element. A generator of one row stops it.
+    """
+    made = F.explode(F.array(F.struct(*[c.alias(k) for k, c in columns.items()])))
+    return df.select("*", made.alias("_pinned")).select(*df.columns, *[F.col(f"_pinned.{k}").alias(k) for k in columns])

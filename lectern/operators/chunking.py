@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.functions.detect import line_modality_g1
-from lectern.functions.text import lines, not_blank
+from lectern.functions.text import lines, not_blank, pinned
 
 #: Boundaries of sentences in the order in which they are looked for.
 SENTENCE_ENDS = (". ", "! ", "? ", "\n\n")
@@ -91,10 +91,10 @@ def seg_lines_g1(documents: DataFrame, key: str = "document_id", text: str = "co
     they are labelled, so labelling needs no shuffle; the runs are found by folding over the array of labels.
     """
     parts = lines(F.coalesce(F.col(text), F.lit("")))
-    labelled = documents.select(F.col(key), parts.alias("_l")).withColumn("_m", F.transform("_l", line_modality_g1))
+    labelled = pinned(documents.select(F.col(key), parts.alias("_l")), _m=F.transform("_l", line_modality_g1))
     # positions at which a run begins; the state before the first line is text
     begins = F.filter(F.sequence(F.lit(0), F.size("_m") - 1), lambda i: (i == 0) | (F.get("_m", i) != F.get("_m", i - 1)))
-    runs = labelled.withColumn("_b", begins).select(key, "_l", "_m", "_b", F.posexplode("_b").alias("_k", "start_line"))
+    runs = pinned(labelled, _b=begins).select(key, "_l", "_m", "_b", F.posexplode("_b").alias("_k", "start_line"))
     ends = F.coalesce(F.get("_b", F.col("_k") + 1), F.size("_l")) - 1
     body = F.array_join(F.slice("_l", F.col("start_line") + 1, ends - F.col("start_line") + 1), "\n")
     modality = F.get("_m", F.col("start_line"))
