@@ -40,7 +40,11 @@ def is_code_line(line: Column) -> Column:
 
 def line_modality_g1(line: Column) -> Column:
     """text, table, code, image or figure; the first rule that holds of a stripped line, text for a blank one."""
-    x = strip(line)
+    return stripped_modality_g1(strip(line))
+
+
+def stripped_modality_g1(x: Column) -> Column:
+    """The same of a line that is stripped already."""
     return (
         F.when(x == "", "text")
         .when(is_table_line(x), "table")

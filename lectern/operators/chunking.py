@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.functions.detect import line_modality_g1
-from lectern.functions.text import lines, not_blank, pinned
+from lectern.functions.detect import stripped_modality_g1
+from lectern.functions.text import lines, not_blank, pinned, strip
 
 #: Boundaries of sentences in the order in which they are looked for.
 SENTENCE_ENDS = (". ", "! ", "? ", "\n\n")
@@ -91,7 +91,8 @@ def seg_lines_g1(documents: DataFrame, key: str = "document_id", text: str = "co
     they are labelled, so labelling needs no shuffle; the runs are found by folding over the array of labels.
     """
     parts = lines(F.coalesce(F.col(text), F.lit("")))
-    labelled = pinned(documents.select(F.col(key), parts.alias("_l")), _m=F.transform("_l", line_modality_g1))
+    split = documents.select(F.col(key), parts.alias("_l"))
+    labelled = pinned(pinned(split, _s=F.transform("_l", strip)), _m=F.transform("_s", stripped_modality_g1)).drop("_s")
     # positions at which a run begins; the state before the first line is text
     begins = F.filter(F.sequence(F.lit(0), F.size("_m") - 1), lambda i: (i == 0) | (F.get("_m", i) != F.get("_m", i - 1)))
     runs = pinned(labelled, _b=begins).select(key, "_l", "_m", "_b", F.posexplode("_b").alias("_k", "start_line"))

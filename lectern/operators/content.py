@@ -56,10 +56,9 @@ def code_records(pages: DataFrame, key: str = "document_id", page: str = "page_n
         return F.struct(F.lit(kind).alias("type"), content.alias("content"), n.alias("lines"), chars.alias("characters"), F.lit(code_type).alias("code_type"), details.alias("line_details"))
 
     found = lambda kind, pattern, group: F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(group)), lambda c: record(kind, c, F.size(lines(c)), F.length(c), "structured", blank))
-    stripped = F.transform(lines(t), strip)
-    numbered = F.transform(stripped, lambda x, i: F.struct((i + 1).alias("line_number"), x.alias("content"), code_like_rule(x).alias("rule")))
+    numbered = F.transform("_stripped", lambda x, i: F.struct((i + 1).alias("line_number"), x.alias("content"), code_like_rule(x).alias("rule")))
     like = F.filter(numbered, lambda x: (x["content"] != "") & x["rule"].isNotNull())
-    both = pinned(pages, _like=like).select(key, page, F.concat(found("markdown_code_block", r"```[\s\S]*?```", 0), found("inline_code", r"`([^`]+)`", 1)).alias("_s"), "_like")
+    both = pinned(pinned(pages, _stripped=F.transform(lines(t), strip)), _like=like).select(key, page, F.concat(found("markdown_code_block", r"```[\s\S]*?```", 0), found("inline_code", r"`([^`]+)`", 1)).alias("_s"), "_like")
     joined = F.transform("_like", lambda x: x["content"])
     loose = F.when(F.size("_like") > 0, F.array(record("code_like_lines", F.array_join(joined, "\n"), F.size("_like"), F.length(F.array_join(joined, "")), "pattern_matched", F.col("_like")))).otherwise(F.expr("array()"))
     each = both.select(key, page, F.posexplode(F.concat("_s", loose)).alias("_i", "r"))

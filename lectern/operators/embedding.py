@@ -2,28 +2,47 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.text import words
 from lectern.operators.content import embedding_type, known_types
 
 Embedder = Callable[[list[str]], "np.ndarray"]
 
 
-def hashing_embedding(text: Column, dimension: int = 64) -> Column:
-    """Words hashed (md5) to signed components, summed and scaled to length 1, within the JVM; a text without words gives zeros."""
-    hexes = F.transform(words(F.lower(text)), F.md5)
-    spot = lambda h: F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % dimension
-    sign = lambda h: F.when(F.substring(h, 9, 1) < "8", 1.0).otherwise(-1.0)
-    marks = F.transform(hexes, lambda h: F.struct(spot(h).alias("i"), sign(h).alias("s")))
-    raw = F.transform(F.sequence(F.lit(0), F.lit(dimension - 1)), lambda i: F.aggregate(F.filter(marks, lambda m: m["i"] == i), F.lit(0.0), lambda a, m: a + m["s"]))
-    norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda a, x: a + x * x))
-    return F.when(norm > 0, F.transform(raw, lambda x: (x / norm).cast("float"))).otherwise(F.transform(raw, lambda x: x.cast("float")))
+class Hashing:
+    """The built-in embedder: each lower-cased word is hashed (md5) to a component and a sign; sums are scaled to length 1.
+
+    Texts without words give zeros. unit=False leaves the sums as they are.
+    """
+
+    def __init__(self, dimension: int = 64, unit: bool = True) -> None:
+        self.dimension, self.unit = dimension, unit
+        self.known: dict[str, tuple[int, float]] = {}
+
+    def place(self, word: str) -> tuple[int, float]:
+        if len(self.known) > 500_000:
+            self.known.clear()
+        if word not in self.known:
+            h = md5(word.encode("utf-8", "surrogatepass")).hexdigest()
+            self.known[word] = int(h[:8], 16) % self.dimension, 1.0 if h[8] < "8" else -1.0
+        return self.known[word]
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        out = np.zeros((len(texts), self.dimension), np.float64)
+        for k, t in enumerate(texts):
+            for w, n in Counter(t.lower().split()).items():
+                i, s = self.place(w)
+                out[k, i] += s * n
+        if self.unit:
+            out /= np.maximum(np.sqrt((out * out).sum(1, keepdims=True)), 1e-300)
+        return out.astype(np.float32)
 
 
 def embed(chunks: DataFrame, text: str, embedder: Embedder, dimension: int, model: str = "custom", device: str = "cpu", batch: int = 32, kind: str = "type") -> DataFrame:
@@ -52,9 +71,8 @@ def with_metadata(chunks: DataFrame, model: str, dimension: int, device: str, ki
 
 
 def embed_hashing(chunks: DataFrame, text: str, dimension: int = 64, kind: str = "type") -> DataFrame:
-    """The same with the built-in embedder, without leaving the JVM."""
-    rows = known_types(chunks, kind).withColumn("embedding", hashing_embedding(F.coalesce(text, F.lit("")), dimension))
-    return with_metadata(rows, "hashing", dimension, "cpu", kind).drop("type_order")
+    """The same with the built-in embedder."""
+    return embed(chunks, text, Hashing(dimension), dimension, "hashing", "cpu", 1024, kind)
 
 
 def choose_device(explicit: str | None = None, preferred: str | None = None, available: tuple[str, ...] = ("cpu",)) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lectern.functions.cleaning import clean_doc_g2
 from lectern.operators.chunking import chunk_sentence_g2
 from lectern.operators.statistics import chunk_summary
-from lectern.plans import text_queries  # noqa: F401
+from lectern.plans import content_queries, statistics_queries, text_queries  # noqa: F401
 from lectern.plans.registry import QUERIES, SQL, table
 
 

@@ -46,8 +46,8 @@ def valid_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def pdf_documents(files: DataFrame) -> DataFrame:
-    """(document_id, path, document_type, processing_status) of PDF files; the id is made of stem and modification time."""
-    stamp = F.unix_micros("modificationTime") / 1e6
+    """(document_id, path, document_type, processing_status) of PDF files; the id is made of the stem and the second of the last change."""
+    stamp = F.unix_seconds(F.col("modificationTime").cast("timestamp"))
     return files.where(suffix(F.col("path")) == "pdf").select(F.concat(F.lit("pdf_"), stem(F.col("path")), F.lit("_"), stamp.cast("string")).alias("document_id"), "path", F.lit("pdf").alias("document_type"), F.lit("ingested").alias("processing_status"))
 
 
