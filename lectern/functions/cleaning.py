@@ -23,7 +23,7 @@ def _join_kept(parts: Column) -> Column:
 def clean_doc_g2(c: Column) -> Column:
     """Whole documents: one blank between words, only word characters and plain punctuation are kept."""
     kept = F.regexp_replace(_text(c), rf"[^{ALNUM}_{SPACE}.,!?;:\-()\[\]{{}}]", "")
-    return strip(collapse(kept))
+    return F.trim(collapse(kept))
 
 
 def clean_std_g2(c: Column, curly_quotes: bool = False) -> Column:
@@ -32,7 +32,7 @@ def clean_std_g2(c: Column, curly_quotes: bool = False) -> Column:
     A literal `, "'").replace(` becomes an apostrophe, as in the engine this one stands in for; curly_quotes adds
     what that replacement was probably meant to do.
     """
-    t = F.replace(strip(collapse(_text(c))), F.lit(", \"'\").replace("), F.lit("'"))
+    t = F.replace(F.trim(collapse(_text(c))), F.lit(", \"'\").replace("), F.lit("'"))
     if curly_quotes:
         t = F.translate(F.translate(t, "“”", '""'), "‘’", "''")
     return F.regexp_replace(F.translate(t, "–—", "--"), r"[\x00-\x08\x{0b}-\x{1f}]", "")

@@ -14,7 +14,7 @@ IMAGE_TYPES = r"(?i)\.(jpg|jpeg|png|gif|bmp|tiff|svg)\b"
 
 
 def n_words(c: Column) -> Column:
-    return F.size(words(c))
+    return F.regexp_count(c, F.lit(f"[^{SPACE}]+"))
 
 
 def n_sentences(c: Column) -> Column:
@@ -110,7 +110,7 @@ def likely_table(c: Column) -> Column:
 
 
 def likely_list(c: Column) -> Column:
-    starts = lambda x: strip(x).rlike(r"^(?:[-*•]|[123]\.)")
+    starts = lambda x: x.rlike(rf"^[{SPACE}]*(?:[-*•]|[123]\.)")
     return F.size(F.filter(lines(c), starts)) >= F.size(lines(c)) * 0.5
 
 

@@ -33,8 +33,9 @@ DIGIT = _digits()
 
 
 def collapse(c: Column) -> Column:
-    """Runs of white space become one blank."""
-    return F.regexp_replace(c, f"[{SPACE}]+", " ")
+    """Runs of white space become one blank; blanks that stand alone aren't touched, which are most."""
+    other = SPACE.replace(r"\x{1c}-\x{20}", r"\x{1c}-\x{1f}")
+    return F.regexp_replace(c, f" [{SPACE}]+|[{other}][{SPACE}]*", " ")
 
 
 def strip(c: Column) -> Column:
