@@ -39,10 +39,11 @@ def listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     return rows.select("path", "length", "modificationTime")
 
 
-def valid_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Files with contents, and (path, category, message) of empty ones."""
-    errors = files.where("length = 0").select("path", F.lit("validation").alias("category"), F.lit("empty file").alias("message"))
-    return files.where("length > 0"), errors
+def valid_files(wanted: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of wanted (path) the files that are there with contents, and (path, category, message) of the others; a listing doesn't show empty files."""
+    there = files.where("length > 0")
+    errors = wanted.join(there, "path", "left_anti").select("path", F.lit("validation").alias("category"), F.lit("missing or empty file").alias("message"))
+    return there.join(wanted.select("path").distinct(), "path", "left_semi"), errors
 
 
 def pdf_documents(files: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def pdf_documents(files: DataFrame) -> DataFrame:
 
 def text_documents(spark: SparkSession, folder: str) -> DataFrame:
     """(document_id, path, content) of text and HTML files, each read whole; HTML loses its markup."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.{txt,html,htm}").text(folder).withColumn("path", F.col("_metadata.file_path"))
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{txt,html,htm}").text(folder, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
     html = F.regexp_replace(F.regexp_replace("value", r"(?is)<(script|style)\b.*?</\1>", " "), r"(?s)<[^>]*>", " ")
     return rows.select(F.concat(F.lit("txt_"), stem(F.col("path"))).alias("document_id"), "path", F.when(suffix(F.col("path")) == "txt", F.col("value")).otherwise(html).alias("content"))
 
