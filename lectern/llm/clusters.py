@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 
 from lectern.llm.common import mix, signed, table, written
 from lectern.llm.components import components
-from lectern.llm.vectors import DIMENSION, Lists, fit_sample, groups_of, listed, matrix, n_lists, one_vector, unit, usable
+from lectern.llm.vectors import DIMENSION, Lists, fit_sample, groups_of, listed, matrix, n_lists, one_vector, unit, usable, without_hot
 
 PER_CELL, MARGIN, MOST_MEMBERSHIPS, REDUCED = 600, 0.2, 3, 40
+#: Cells with more members are split.
+HOT_CELL = 16_384
 #: Members of a cluster that one task compares; larger clusters are compared block by block.
 MOST_TOGETHER = 8_192
 
@@ -49,16 +51,16 @@ def local_clusters(cells: DataFrame, least: float) -> DataFrame:
     """(vec_key, modality, local): of each cell its clusters of at least two records; local names cell and cluster."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in groups_of(batches, ["modality", "list"]):
+        for t in groups_of(batches, ["modality", "list", "sub"]):
             label = reaches(unit(matrix(t.column("vec"))), least)
             weight = np.bincount(label, t.column("copies").to_numpy(), len(label))
             keep = np.flatnonzero(weight[label] >= 2)
             key = t.column("vec_key").to_numpy().view(np.uint64)
-            name = mix(key[label[keep]] + mix(np.array([t.column("list")[0].as_py()], np.uint64)))
+            name = mix(key[label[keep]] + mix(np.array([t.column("list")[0].as_py() * 65536 + t.column("sub")[0].as_py()], np.uint64)))
             rows = pa.array(keep)
             yield pa.RecordBatch.from_arrays([t.column("vec_key").combine_chunks().take(rows), t.column("modality").combine_chunks().take(rows), pa.array(signed(name))], names=["vec_key", "modality", "local"])
 
-    return cells.repartition("modality", "list").sortWithinPartitions("modality", "list").mapInArrow(run, "vec_key long, modality string, local long")
+    return cells.repartition("modality", "list", "sub").sortWithinPartitions("modality", "list", "sub").mapInArrow(run, "vec_key long, modality string, local long")
 
 
 def similar_throughout(rows: DataFrame, least: float) -> DataFrame:
@@ -110,7 +112,9 @@ def clustered(chunks: DataFrame, least: float = 0.85, least_size: int = 5) -> tu
         empty = "vec_key long, modality string, cluster long, copies int, vec binary"
         return spark.createDataFrame([], "chunk_id string, modality string, vec_key long, cluster long, cluster_id string, size long"), spark.createDataFrame([], empty)
     cells = Lists(sample, n_lists(n, PER_CELL), MARGIN, MOST_MEMBERSHIPS, REDUCED)
-    local = written(local_clusters(listed(classes, cells, ["vec_key", "modality", "copies"]), least), "local_clusters")
+    columns = ["vec_key", "modality", "copies"]
+    members_of = without_hot(written(listed(classes, cells, columns), "cells"), columns, HOT_CELL)
+    local = written(local_clusters(members_of, least), "local_clusters")
     # a record in several local clusters makes them one
     ties = local.groupBy("vec_key", "modality").agg(F.collect_set("local").alias("l")).where("size(l) > 1").select(F.array_min("l").alias("a"), F.explode("l").alias("b"))
     names = written(components(ties), "cluster_names")

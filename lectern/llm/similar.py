@@ -17,11 +17,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.llm.common import table, written
-from lectern.llm.vectors import DIMENSION, Lists, fit_sample, groups_of, kmeans, listed, matrix, n_lists, one_vector, unit, usable
+from lectern.llm.vectors import DIMENSION, Lists, fit_sample, groups_of, kmeans, listed, matrix, n_lists, one_vector, unit, usable, without_hot
 
 PER_LIST, MARGIN, MOST_MEMBERSHIPS = 400, 0.12, 5
-#: Lists with more members are split by centroids of their own, fitted on so many of their members.
-HOT_LIST, HOT_SAMPLE = 8_192, 4_096
+#: Lists with more members are split.
+HOT_LIST = 8_192
 PARTS, CODES = 16, 256
 
 
@@ -88,30 +88,6 @@ class Index:
             yield at + q[top], b[top], cosine[top]
 
 
-def split_hot(rows: DataFrame, n_hot: int) -> DataFrame:
-    """Rows of lists that are too large, given finer lists: by centroids fitted on HOT_SAMPLE members of each, with margins."""
-    order = W.partitionBy("list").orderBy("vec_key")
-    sample = rows.select("list", "vec_key", "vec").withColumn("k", F.row_number().over(order)).where(F.col("k") <= max(256, HOT_SAMPLE * 16 // max(16, n_hot))).toArrow()
-    sizes = {r["list"]: r["n"] for r in rows.groupBy("list").agg(F.count("*").alias("n")).collect()}
-    which = sample.column("list").to_numpy()
-    x = matrix(sample.column("vec"))
-    finer = {int(k): Lists(x[which == k], max(2, min(256, sizes[int(k)] // 1024)), 0.03, 4) for k in np.unique(which)}
-    shared = rows.sparkSession.sparkContext.broadcast(finer)  # bounded: the sample is
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("list").to_numpy()
-            v = unit(matrix(batch.column("vec"))).astype(np.float32)
-            for k in np.unique(lists):
-                at = np.flatnonzero(lists == k)
-                row, sub = shared.value[int(k)].assign(v[at])
-                n = np.bincount(row, minlength=len(at))[row]
-                take = pa.array(at[row])
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in ("vec_key", "chunk_id", "list")), pa.array(n.astype(np.int32) + 1), batch.column("vec").take(take), pa.array(sub.astype(np.int32))], names=["vec_key", "chunk_id", "list", "lists", "vec", "sub"])
-
-    return rows.select("vec_key", "chunk_id", "list", "lists", "vec").mapInArrow(run, "vec_key long, chunk_id string, list int, lists int, vec binary, sub int")
-
-
 def class_neighbours(chunks: DataFrame, k: int, least: float, fitted: np.ndarray | None = None) -> tuple[DataFrame, DataFrame]:
     """members (chunk_id, vec_key) and neighbours (vec_key, other_key, other_id, cosine): of each class of equal vectors its k most similar classes."""
     spark = chunks.sparkSession
@@ -124,11 +100,7 @@ def class_neighbours(chunks: DataFrame, k: int, least: float, fitted: np.ndarray
         return members, spark.createDataFrame([], "vec_key long, other_key long, other_id string, cosine double")
     index = Index(sample, n_lists(n, PER_LIST))
     shared = spark.sparkContext.broadcast(index)
-    lists = listed(classes, index.lists, ["vec_key", "chunk_id"]).withColumn("sub", F.lit(0))
-    lists = written(lists, "lists")
-    hot = [r["list"] for r in lists.groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") > HOT_LIST).select("list").collect()]
-    if hot:
-        lists = lists.where(~F.col("list").isin(hot)).unionByName(split_hot(lists.where(F.col("list").isin(hot)), len(hot)))
+    lists = without_hot(written(listed(classes, index.lists, ["vec_key", "chunk_id"]), "lists"), ["vec_key", "chunk_id"], HOT_LIST)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from lectern.llm.common import GOLDEN, U64, codepoints, gram_hashes, mix, signed, table, written
 
 GRAM = 64
-#: Windows handled at once, and most distinct segments of an anchor that one task compares as a block.
-BLOCK, MOST_SEGMENTS = 500_000, 5_000
+#: Windows handled at once, and most distinct segments of an anchor, and characters of them, that one task compares as a block.
+BLOCK, MOST_SEGMENTS, MOST_CHARS = 500_000, 5_000, 4_000_000
 BASE = 0xD6E8FEB86659FD93
 INVERSE = U64(pow(BASE, -1, 1 << 64))
 
@@ -252,16 +252,17 @@ def shared_spans(chunks: DataFrame, least: int = 200, most_segments: int = MOST_
     met = written(rows.join(shared, "anchor"), "met_segments")
     classes = met.groupBy("anchor", "content_key").agg(F.min("document_key").alias("low"), F.max("document_key").alias("high"), F.min(F.struct("chunk_key", "document_key", "first", "last")).alias("at"))
     classes = written(classes, "segment_classes")
-    kinds = classes.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    several = classes.join(kinds, "anchor").select("anchor", "content_key", "low", "high", "kinds", "at.*")
-    wanted = several.groupBy("chunk_key", "document_key").agg(F.collect_list(F.struct("anchor", "content_key", "low", "high", "kinds", "first", "last")).alias("parts"))
+    chars = F.sum((F.col("at.last") - F.col("at.first") + least).cast("bigint"))
+    kinds = classes.groupBy("anchor").agg(F.count("*").alias("kinds"), chars.alias("chars")).where("kinds > 1").select("anchor", ((F.col("kinds") > most_segments) | (F.col("chars") > MOST_CHARS)).alias("large"))
+    several = classes.join(kinds, "anchor").select("anchor", "content_key", "low", "high", "large", "at.*")
+    wanted = several.groupBy("chunk_key", "document_key").agg(F.collect_list(F.struct("anchor", "content_key", "low", "high", "large", "first", "last")).alias("parts"))
     texts = keyed(chunks, least).join(wanted, ["chunk_key", "document_key"])
-    part = texts.select("content", F.explode("parts").alias("p")).select("p.anchor", "p.content_key", "p.low", "p.high", "p.kinds", F.substring("content", F.col("p.first") + 1, F.col("p.last") - F.col("p.first") + least).alias("text")).where(F.length("text") >= least)
+    part = texts.select("content", F.explode("parts").alias("p")).select("p.anchor", "p.content_key", "p.low", "p.high", "p.large", F.substring("content", F.col("p.first") + 1, F.col("p.last") - F.col("p.first") + least).alias("text")).where(F.length("text") >= least)
     part = written(part.dropDuplicates(["anchor", "content_key"]), "segment_texts")
     columns = ["anchor", "content_key", "low", "high", "text"]
-    factors = block_factors(part.where(F.col("kinds") <= most_segments).select(*columns), least)
-    if part.where(F.col("kinds") > most_segments).limit(1).count():
-        factors = factors.unionByName(window_factors(part.where(F.col("kinds") > most_segments).select(*columns), least))
+    factors = block_factors(part.where("not large").select(*columns), least)
+    if part.where("large").limit(1).count():
+        factors = factors.unionByName(window_factors(part.where("large").select(*columns), least))
     partly = met.join(factors, ["anchor", "content_key"]).select("chunk_key", "document_key", (F.col("first") + F.col("from_window")).alias("a"), (F.col("first") + F.col("to_window") + least).alias("b"))
     # segments that are the only kind of their anchor stand as they are in several documents
     alone = classes.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds = 1").select("anchor")

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.llm.common import hashed_sample
@@ -15,6 +16,8 @@ DIMENSION = 64
 #: Vectors that indexes are fitted on: those whose keys are least. Every vector is indexed.
 MOST_FITTED = 32_768
 MOST_LISTS = 2_048
+#: Of each hot list so many members (fewer where many lists are hot) are taken to fit its finer centroids.
+HOT_SAMPLE = 4_096
 
 
 def usable(chunks: DataFrame, dimension: int = DIMENSION) -> DataFrame:
@@ -153,6 +156,44 @@ def listed(classes: DataFrame, lists: Lists, columns: list[str]) -> DataFrame:
     return classes.select(*columns, "vec").mapInArrow(run, f"{schema}, list int, lists int, vec binary")
 
 
+def without_hot(rows: DataFrame, columns: list[str], most: int) -> DataFrame:
+    """Memberships with `sub`: lists of more than `most` members are split by finer centroids, with a margin as between lists; sub is 0 elsewhere.
+
+    rows: columns, list, lists, vec.
+    """
+    hot = rows.groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") > most).collect()  # MOST_LISTS rows at most
+    plain = rows.withColumn("sub", F.lit(0))
+    if not hot:
+        return plain
+    names = [r["list"] for r in hot]
+    large = rows.where(F.col("list").isin(names))
+    each = max(256, HOT_SAMPLE * 16 // max(16, len(hot)))
+    order = W.partitionBy("list").orderBy("vec_key")
+    sample = large.select("list", "vec_key", "vec").withColumn("k", F.row_number().over(order)).where(F.col("k") <= each).toArrow()
+    which, x = sample.column("list").to_numpy(), matrix(sample.column("vec"))
+    finer = {r["list"]: Lists(x[which == r["list"]], max(2, min(256, r["n"] // 1024)), 0.03, 4) for r in hot}
+    shared = rows.sparkSession.sparkContext.broadcast(finer)  # bounded as the sample is
+    names_out = [*columns, "list", "lists", "vec", "sub"]
+    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("list").to_numpy()
+            if not len(lists):
+                continue
+            v = unit(matrix(batch.column("vec"))).astype(np.float32)
+            for k in np.unique(lists):
+                at = np.flatnonzero(lists == k)
+                row, sub = shared.value[int(k)].assign(v[at])
+                n = np.bincount(row, minlength=len(at))[row]
+                take = pa.array(at[row])
+                # such a vector has several memberships, whatever the number of its lists
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in [*columns, "list"]), pa.array(n.astype(np.int32) + 1), batch.column("vec").take(take), pa.array(sub.astype(np.int32))], names=names_out)
+
+    split = large.select(*columns, "list", "lists", "vec").mapInArrow(run, f"{schema}, list int, lists int, vec binary, sub int")
+    return plain.where(~F.col("list").isin(names)).select(*names_out).unionByName(split)
+
+
 def n_lists(n: int, per_list: int) -> int:
     return int(min(MOST_LISTS, max(1, n // per_list)))
 

@@ -56,9 +56,10 @@ def test_hot_lists_are_split(spark, monkeypatch):
     assert all(u[a][1] @ u[b][1] >= 0.85 - 1e-6 for a, b in got) and len(got) > 300
 
 
-@pytest.mark.parametrize("together", [8192, 3])
-def test_clusters(spark, monkeypatch, together):
+@pytest.mark.parametrize(("together", "hot"), [(8192, 16_384), (3, 16_384), (8192, 60)])
+def test_clusters(spark, monkeypatch, together, hot):
     monkeypatch.setattr(clusters, "MOST_TOGETHER", together)
+    monkeypatch.setattr(clusters, "HOT_CELL", hot)
     rows = made(1)
     u = {k: v for k, v in usable(rows).items() if v[0] is not None}
     ids = sorted(u)
