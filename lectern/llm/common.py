@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.plans.workdir import folder
+
 #: A word is a longest run of these after lower-casing.
 WORD = re.compile("[a-z0-9]+")
 U64 = np.uint64
@@ -22,19 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one where that is unset (local mode, tests)."""
-    key = "spark.checkpoint.dir"
-    found = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='lectern-')}"
-        spark.conf.set(key, found)
-    return found.rstrip("/")
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: lineage ends there, and a lost executor costs no recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/lectern/{uuid.uuid4().hex}/{name}"
+    path = f"{folder(df.sparkSession)}/lectern/{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
