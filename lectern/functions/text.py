@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 #: White space in the sense of Unicode strings, written so that java.util.regex and RE2 read it alike.
 SPACE = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-#: The same without the line feed.
+#: The same characters themselves.
+WHITE = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
+#: The class without the line feed.
 BLANK = SPACE.replace(r"\t-\r", r"\t\x{0b}-\r")
 #: Letters and numbers, what isalnum() accepts.
 ALNUM = r"\p{L}\p{N}"
@@ -39,15 +41,15 @@ def collapse(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def lstrip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^[{SPACE}]+", "")
+    return F.ltrim(c, F.lit(WHITE))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"[{SPACE}]+\z", "")
+    return F.rtrim(c, F.lit(WHITE))
 
 
 def words(c: Column) -> Column:
