@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.operators.embedding import Hashing
 from lectern.operators.search import search
 from lectern.operators.statistics import count_by
 
@@ -128,6 +129,12 @@ class Collection:
     def search(self, vector: list[float], k: int = 10, where: Column | None = None, metric: str = "l2") -> DataFrame:
         return search(self.read(), vector, k, where, metric)
 
+    def search_text(self, text: str, k: int = 10, where: Column | None = None, metric: str = "l2", embedder=None) -> DataFrame:
+        """The k nearest rows to a text, embedded as the collection's rows are: by the built-in embedder unless another is given."""
+        row = self.read().select("embedding_dimension").where("embedding_dimension > 0").first()
+        vector = (embedder or Hashing(row[0] if row else 64))([text])[0]
+        return self.search([float(x) for x in vector], k, where, metric)
+
     def stats(self) -> dict:
         rows = self.read()
         sample = rows.select("metadata").first()

@@ -349,4 +349,65 @@ def vs_store(spark, d):
     return T.count_by(store.read(), "chunk_type", "chunk_type")
 
 
+def _collection(spark, d):
+    """A new collection that holds all chunks with content."""
+    import uuid
+
+    from lectern.operators.store import Collection
+    from lectern.plans.workdir import folder
+
+    store = Collection(spark, folder(spark), f"collection-{uuid.uuid4().hex}")
+    store.store(table(spark, d, CH).withColumn("type", F.col("modality")))
+    return store
+
+
+_KEPT = "document_chunks where length(content) > 0"
+
+
+@query("vs_delete_doc", f"select document_id, {_N} as n from {_KEPT} and document_id <> (select min(document_id) from document_chunks) group by 1")
+def vs_delete_doc(spark, d):
+    store = _collection(spark, d)
+    store.delete_document(table(spark, d, CH).agg(F.min("document_id")).first()[0])
+    return T.count_by(store.read(), "document_id", "document_id")
+
+
+@query("vs_stats", f"select modality as chunk_type, {_N} as n from {_KEPT} group by 1")
+def vs_stats(spark, d):
+    return T.count_by(_collection(spark, d).read(), "chunk_type", "chunk_type")
+
+
+@query("vs_clear", f"select {_N} as n from document_chunks where false")
+def vs_clear(spark, d):
+    store = _collection(spark, d)
+    store.clear()
+    return store.read().agg(F.count("*").alias("n"))
+
+
+@query("vs_export", f"select document_id, chunk_index, modality, cast(length(content) as integer) as length from (select document_id, coalesce(chunk_index, 0) as chunk_index, modality, content from {_KEPT}) x")
+def vs_export(spark, d):
+    store = _collection(spark, d)
+    path = f"{store.path}-export"
+    store.export(path)
+    back = spark.read.schema("document string, metadata map<string,string>").json(path)
+    m = F.col("metadata")
+    return back.select(m["document_id"].alias("document_id"), m["chunk_index"].cast("int").alias("chunk_index"), m["modality"].alias("modality"), F.length("document").alias("length"))
+
+
+@query("vs_search_text")
+def vs_search_text(spark, d):
+    """The chunks nearest to a text by the built-in embedder (rows only)."""
+    from lectern.operators.embedding import embed_hashing
+    from lectern.operators.search import search
+
+    chunks = embed_hashing(table(spark, d, CH).where("length(content) > 0").select("chunk_id", F.col("modality").alias("type"), "content"), "content")
+    from lectern.operators.embedding import Hashing
+
+    rows = chunks.select(F.col("chunk_id").alias("id"), F.col("content").alias("document"), F.create_map(F.lit("type"), F.col("type")).alias("metadata"), "embedding")
+    return search(rows, Hashing(64)(["every network near the condition"])[0].tolist(), 10).select("id", F.round("distance", 6).alias("distance"))
+
 
+@query("agg_storage_stats")
+def agg_storage_stats(spark, d):
+    """Bytes and files of a collection's directory (rows only)."""
+    stats = _collection(spark, d).storage_stats()
+    return spark.createDataFrame([(stats["total_size_bytes"], stats["file_count"])], "total_size_bytes long, file_count long")

@@ -71,6 +71,42 @@ def gallery(images: DataFrame, data: str | None = None) -> DataFrame:
     return whole.select("document_id", F.concat(head, F.col("cards"), F.lit("\n</body></html>")).alias("html"))
 
 
+def write_images(images: DataFrame, folder: str, data: str = "data") -> DataFrame:
+    """Writes the bytes of image records to folder/document_id/page_001_img_001.png; (document_id, file_name, error) comes back. Records without bytes are left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pathlib import Path
+
+        for batch in batches:
+            errors = []
+            for document, name, content in zip(batch["document_id"], batch["file_name"], batch["content"]):
+                try:
+                    target = Path(folder) / str(document) / name
+                    target.parent.mkdir(parents=True, exist_ok=True)
+                    target.write_bytes(bytes(content))
+                    errors.append(None)
+                except OSError as e:
+                    errors.append(str(e))
+            yield batch[["document_id", "file_name"]].assign(error=errors)
+
+    name = F.format_string("page_%03d_img_%03d.png", F.coalesce("page_number", F.lit(0)), F.coalesce("image_index", F.lit(0)))
+    rows = images.where(F.col(data).isNotNull()).select("document_id", name.alias("file_name"), F.col(data).alias("content"))
+    return rows.mapInPandas(run, "document_id string, file_name string, error string")
+
+
+def image_workflow(images: DataFrame, folder: str, data: str | None = None) -> dict:
+    """Images, gallery and report of every document into a folder; returns totals. No images is a result, not an error."""
+    written = [write_files(gallery(images, data).select("document_id", F.lit("gallery.html").alias("file_name"), F.col("html").alias("content")), folder), write_reports(images, folder)]
+    if data:
+        written.append(write_images(images, folder, data))
+    out = written[0]
+    for w in written[1:]:
+        out = out.unionByName(w)
+    row = out.agg(F.count("*").alias("files"), F.count("error").alias("failed")).first()
+    totals = images.agg(F.count("*").alias("n"), F.countDistinct("document_id").alias("documents"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes")).first()
+    return {"success": row.failed == 0, "total_images": totals.n, "documents": totals.documents, "total_bytes": totals.bytes, "files": row.files, "failed": row.failed}
+
+
 def chart(counts: list[tuple[str, float]], title: str) -> str:
     """A bar chart as SVG, from chart data that has been collected (top-k rows or histogram bins)."""
     top = max((n for _, n in counts), default=0) or 1
@@ -78,4 +114,4 @@ def chart(counts: list[tuple[str, float]], title: str) -> str:
     return f"<svg xmlns='http://www.w3.org/2000/svg' width='600' height='{24 * len(counts) + 50}'><text x='0' y='16'>{html.escape(title)}</text>{bars}</svg>"
 
 
-__all__ = ["chart", "embedding_metadata", "embedding_stats", "extracted_files", "gallery", "write_embeddings", "write_files", "write_reports"]
+__all__ = ["chart", "embedding_metadata", "embedding_stats", "extracted_files", "gallery", "image_workflow", "write_embeddings", "write_files", "write_images", "write_reports"]

@@ -12,7 +12,8 @@ from lectern.operators.store import Collection
 from lectern.plans.pipeline import Pipeline
 from lectern.schemas import IMAGE_RECORD, TABLE_RECORD
 from lectern.sinks import writers
-from lectern.sources import config, files
+from lectern.plans.tracing import Trace
+from lectern.sources import analysis, config, files
 from lectern.streaming import files as stream
 
 IMAGES = [("d", 1, 1, 200, 100, "rgb", 10, "seen", True), ("d", 1, 2, 60, 60, None, 5, None, None), ("d", 2, 1, 10, 0, "rgb", None, "", False), ("e", None, None, None, None, None, None, None, None)]
@@ -126,6 +127,7 @@ def test_collection_and_pipeline(spark, tmp_path, images, tables):
     assert first.metadata["document_id"] == "d" and first.embedding_dimension == 64 and first.embedding_model == "hashing"
     hit = store.search(list(first.embedding), 2, F.col("modality") == "text").collect()
     assert hit[0].distance == pytest.approx(0) and len(hit) == 2
+    assert store.search_text(first.document, 1).first().distance == pytest.approx(0, abs=1e-6)
     n = rows.count()
     assert store.store(pipe.plan(docs)["embedded"])["stored_chunks"] > 0 and store.read().count() > n
     assert store.delete_document("d") > 0 and store.read().where("document_id = 'd'").count() == 0 and store.delete_document("d") == 0
@@ -191,6 +193,28 @@ def test_sinks(spark, tmp_path, images, tables):
     assert writers.write_embeddings(embed_hashing(spark.createDataFrame([("text", "a")], "type string, t string"), "t", 8), f"file://{tmp_path}/e").first().dimension == 8
 
 
+def test_image_files_and_analysis(spark, tmp_path, images):
+    with_bytes = images.withColumn("data", F.when(F.col("image_index") == 1, F.lit(b"png"))).where("document_id = 'd'")
+    got = writers.image_workflow(with_bytes, str(tmp_path), "data")
+    assert got == {"success": True, "total_images": 3, "documents": 1, "total_bytes": 15, "files": 4, "failed": 0}
+    assert sorted(p.name for p in (tmp_path / "d").iterdir()) == ["gallery.html", "images.md", "page_001_img_001.png", "page_002_img_001.png"]
+    assert writers.image_workflow(images.limit(0), str(tmp_path))["total_images"] == 0
+    path = tmp_path / "analysis.json"
+    path.write_text(json.dumps({"total_tables": 2, "tables_by_document": {"a_1": 2}, "sample_table_chunks": [{"content_preview": "x", "metadata": {"word_count": 3, "has_header": True}}]}))
+    a = analysis.read_analysis(spark, f"file://{path}")
+    assert [tuple(r) for r in analysis.counts_by_document(a, "tables").collect()] == [("a_1", 2)] and analysis.counts_by_document(a, "figures").count() == 0
+    assert analysis.samples(a, "table").first().word_count == 3
+
+
+def test_trace(spark):
+    t = Trace()
+    with t.span("good", n=1):
+        pass
+    with pytest.raises(ZeroDivisionError), t.span("bad"):
+        1 / 0
+    assert [(r.name, r.success) for r in t.table(spark).collect()] == [("good", True), ("bad", False)]
+
+
 def test_stream(spark, tmp_path):
     docs = spark.createDataFrame([("d1", "One. Two. " * 30), ("d2", "Three.")], "document_id string, content string")
     docs.write.parquet(f"{tmp_path}/in")
