@@ -2,8 +2,10 @@
 
 An inverted file of coarse centroids; the residuals in each list are product-quantised. A list's vectors are queries and
 base at once: asymmetric distance tables screen the list with a slack measured on the sample, what passes is reranked
-with exact cosines in double precision. A vector belongs to its nearest lists within a margin, so that neighbours on
-either side of a border meet. Equal vectors are one class; of a class its least chunk_ids stand for all of them.
+with exact cosines in double precision. A vector belongs to its nearest lists within a margin, so that most neighbours on
+either side of a border meet. The k-th cosine found so is a bound for each vector: blocks of lists are then held against
+blocks wherever the triangle inequality of angles leaves room for a better neighbour, which makes the result exact. Equal
+vectors are one class; of a class its least chunk_ids stand for all of them.
 """
 
 from __future__ import annotations
@@ -23,6 +25,11 @@ PER_LIST, MARGIN, MOST_MEMBERSHIPS = 400, 0.12, 5
 #: Lists with more members are split.
 HOT_LIST = 8_192
 PARTS, CODES = 16, 256
+#: Blocks of the exact pass: so many at least, of so many vectors at most. Tiles of products there.
+LEAST_BLOCKS, BLOCK = 4, 131_072
+TILE_ROWS, TILE_COLUMNS = 512, 4_096
+#: Above the error of single precision: of angles near 0, of products of unit vectors.
+ANGLE_ERROR, PRODUCT_ERROR = 2e-3, 1e-5
 
 
 class Codes:
@@ -115,15 +122,144 @@ def class_neighbours(chunks: DataFrame, k: int, least: float, fitted: np.ndarray
     found = written(found, "neighbours")
     best = W.partitionBy("vec_key").orderBy(F.desc("cosine"), "other_id")
     several = found.where("not alone").drop("alone").distinct().withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).drop("r")
-    return members, found.where("alone").drop("alone").unionByName(several)
+    first = written(found.where("alone").drop("alone").unionByName(several), "first_neighbours")
+    more = written(missed(classes, first, index.lists.centroids, k, least), "more_neighbours")
+    both = first.unionByName(more).dropDuplicates(["vec_key", "other_key"])
+    return members, both.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).drop("r")
+
+
+def angles(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ y.T, -1, 1))
+
+
+def blocks_of(centroids: np.ndarray, sizes: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first block, number of blocks) of each list: near lists share blocks of about `rows` vectors, a list of more has several."""
+    order, left = [0], np.ones(len(centroids), bool)
+    left[0] = False
+    while left.any():
+        order.append(int(np.where(left, centroids @ centroids[order[-1]], -2).argmax()))
+        left[order[-1]] = False
+    first, parts = np.zeros(len(sizes), np.int64), np.ones(len(sizes), np.int64)
+    at = filled = 0
+    for k in order:
+        if filled and filled + sizes[k] > rows:
+            at, filled = at + 1, 0
+        first[k], parts[k] = at, max(1, -(-sizes[k] // rows))
+        at, filled = at + parts[k] - 1, filled + sizes[k] if parts[k] == 1 else rows
+    return first, parts
+
+
+def missed(classes: DataFrame, near: DataFrame, centroids: np.ndarray, k: int, least: float) -> DataFrame:
+    """(vec_key, other_key, other_id, cosine): every neighbour as good as the k-th of `near`, or with `least` where there are fewer; exact.
+
+    A vector has one home list here. It meets a block of lists if one of them may hold a vector within the angle that
+    it, or a vector of that list, still looks for. Pairs of blocks are tasks, so both directions come from one product.
+    """
+    spark = classes.sparkSession
+    centroids = centroids / np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-12)
+    centres = spark.sparkContext.broadcast(centroids)  # MOST_LISTS at most
+
+    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                a = angles(unit(matrix(part.column("vec"))).astype(np.float32), centres.value)
+                which = a.argmin(1)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(which.astype(np.int32)), pa.array(a[np.arange(len(a)), which].astype(np.float64))], names=[*part.schema.names, "list", "away"])
+
+    kth = near.groupBy("vec_key").agg(F.count("*").alias("n"), F.min("cosine").alias("bound")).where(F.col("n") >= k).select("vec_key", "bound")
+    # a cosine is rounded to 6 decimals: equal ones count, since ties go by name
+    wanted = F.greatest(F.lit(float(least)) - 1e-12, F.coalesce(F.col("bound") - 1.1e-6, F.lit(-1.0))).alias("bound")
+    rows = classes.join(kth, "vec_key", "left").select("vec_key", "chunk_id", "vec", wanted)
+    rows = written(rows.mapInArrow(home, "vec_key long, chunk_id string, vec binary, bound double, list int, away double"), "homes")
+    of = rows.groupBy("list").agg(F.count("*").alias("n"), F.max("away").alias("away"), F.min("bound").alias("bound")).toArrow()  # MOST_LISTS rows at most
+    there = of.column("list").to_numpy()
+    sizes, radius, reach = np.zeros(len(centroids), np.int64), np.full(len(centroids), -10.0), np.zeros(len(centroids))
+    sizes[there], radius[there], reach[there] = of.column("n").to_numpy(), of.column("away").to_numpy(), np.arccos(np.clip(of.column("bound").to_numpy(), -1, 1))
+    n_rows = int(min(BLOCK, max(1, -(-sizes.sum() // LEAST_BLOCKS))))
+    first, parts = blocks_of(centroids, sizes, n_rows)
+    n_blocks = int((first + parts).max())
+    shared = spark.sparkContext.broadcast((first, parts, radius, reach))
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, parts, radius, reach = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                a = angles(unit(matrix(part.column("vec"))).astype(np.float32), centres.value)
+                own = np.arccos(np.clip(part.column("bound").to_numpy(), -1, 1))
+                may = a <= radius + np.maximum(own[:, None], reach) + ANGLE_ERROR
+                which = part.column("list").to_numpy()
+                mine = first[which] + part.column("vec_key").to_numpy() % parts[which]
+                meets = np.zeros((len(a), n_blocks), bool)
+                for j in range(n_blocks):
+                    meets[:, j] = may[:, (first <= j) & (j < first + parts)].any(1)
+                row, j = np.nonzero(meets)
+                i = mine[row]
+                take = pa.array(row)
+                pair = np.minimum(i, j) * n_blocks + np.maximum(i, j)
+                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(i), *(part.column(c).take(take) for c in ("list", "vec_key", "chunk_id", "vec", "bound"))], names=["pair", "block", "list", "vec_key", "chunk_id", "vec", "bound"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, _, radius, reach = shared.value
+        for t in groups_of(batches, ["pair"]):
+            block, same = t.column("block").to_numpy(), divmod(t.column("pair")[0].as_py(), n_blocks)
+            x = unit(matrix(t.column("vec")))
+            cut = int(np.searchsorted(block, same[0], "right"))
+            lo, hi = (0, len(x)) if same[0] == same[1] else (cut, len(x))
+            tiled = Tiles(x, t.column("list").to_numpy(), t.column("bound").to_numpy(), centres.value, radius, reach)
+            key, name = t.column("vec_key").to_numpy(), t.column("chunk_id").combine_chunks()
+            for a, b, cosine in tiled.near((0, cut if lo else len(x)), (lo, hi)):
+                yield pa.RecordBatch.from_arrays([pa.array(key[a]), pa.array(key[b]), name.take(pa.array(b)), pa.array(cosine)], names=["vec_key", "other_key", "other_id", "cosine"])
+
+    met = rows.mapInArrow(pairs, "pair long, block long, list int, vec_key long, chunk_id string, vec binary, bound double")
+    met = met.repartitionByRange(n_blocks * (n_blocks + 1) // 2, "pair").sortWithinPartitions("pair", "block", "list")
+    return met.mapInArrow(compare, "vec_key long, other_key long, other_id string, cosine double")
+
+
+class Tiles:
+    """Vectors x (unit, double) of two blocks, sorted by block and list, with what each looks for."""
+
+    def __init__(self, x: np.ndarray, lists: np.ndarray, bound: np.ndarray, centroids: np.ndarray, radius: np.ndarray, reach: np.ndarray) -> None:
+        self.x, self.single, self.lists, self.bound, self.centroids, self.radius, self.reach = x, x.astype(np.float32), lists, bound, centroids, radius, reach
+
+    def near(self, left: tuple[int, int], right: tuple[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, other row, cosine), both directions, of the pairs of left and right that one of the two looks for."""
+        columns = np.arange(*right)
+        for at in range(*left, TILE_ROWS):
+            a = np.arange(at, min(at + TILE_ROWS, left[1]))
+            own = np.arccos(np.clip(self.bound[a], -1, 1))
+            may = (angles(self.single[a], self.centroids) <= self.radius + np.maximum(own[:, None], self.reach) + ANGLE_ERROR).any(0)
+            others = columns[may[self.lists[columns]]]
+            if left == right:
+                others = others[others > at]
+            kept = []
+            for lo in range(0, len(others), TILE_COLUMNS):
+                b = others[lo : lo + TILE_COLUMNS]
+                s = self.single[a] @ self.single[b].T
+                hit = np.flatnonzero((s >= np.float32(min(self.bound[a].min(), self.bound[b].min()) - PRODUCT_ERROR)).ravel())
+                if not len(hit):
+                    continue
+                p, q = a[hit // len(b)], b[hit % len(b)]
+                ok = s.ravel()[hit] >= np.minimum(self.bound[p], self.bound[q]) - PRODUCT_ERROR
+                if left == right:
+                    ok &= p < q
+                p, q = p[ok], q[ok]
+                cosine = np.empty(len(p))
+                for z in range(0, len(p), 1 << 16):
+                    cosine[z : z + (1 << 16)] = np.einsum("ij,ij->i", self.x[p[z : z + (1 << 16)]], self.x[q[z : z + (1 << 16)]])
+                for r, o in ((p, q), (q, p)):
+                    ok = cosine >= self.bound[r]
+                    kept.append((r[ok], o[ok], np.round(cosine[ok], 6)))
+            if kept:
+                yield tuple(np.concatenate(c) for c in zip(*kept))
 
 
 def most_similar(chunks: DataFrame, k: int = 10, least: float = 0.85) -> DataFrame:
     """(chunk_id, other_id, cosine, rank): for each chunk_id with a usable embedding its k most similar other chunks with a cosine of at least `least`.
 
     Cosines are rounded to 6 decimals, ties go to the smaller chunk_id. Rows of a chunk_id count once. The cosines are
-    exact; a neighbour can be missing where it shares no list with the chunk (recall is measured in the tests and stated
-    in the README). Null chunk_ids and embeddings that are null, empty, of another length, all zero or not finite give
+    exact, and none is missing. Null chunk_ids and embeddings that are null, empty, of another length, all zero or not finite give
     nothing. Other columns aren't read.
     """
     members, near = class_neighbours(chunks, k, least)

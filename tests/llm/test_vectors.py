@@ -56,6 +56,24 @@ def test_hot_lists_are_split(spark, monkeypatch):
     assert all(u[a][1] @ u[b][1] >= 0.85 - 1e-6 for a, b in got) and len(got) > 300
 
 
+@pytest.mark.parametrize(("hot", "block"), [(8_192, 131_072), (40, 300)])
+def test_a_third_in_one_dense_group(spark, monkeypatch, hot, block):
+    monkeypatch.setattr(similar, "PER_LIST", 20)
+    monkeypatch.setattr(similar, "HOT_LIST", hot)
+    monkeypatch.setattr(similar, "BLOCK", block, raising=False)
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=64)
+    x = np.concatenate([centre + rng.normal(size=(1000, 64)) * np.linalg.norm(centre) / 24, rng.normal(size=(2000, 64))]).astype("f4")
+    rows = [(f"v{k:04}", "text", v.tolist(), "x", "x") for k, v in enumerate(x)]
+    u = x.astype("f8") / np.linalg.norm(x.astype("f8"), axis=1, keepdims=True)
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    assert np.mean(s[:1000, :1000]) > 0.88
+    want = {(f"v{a:04}", f"v{b:04}") for a in range(3000) for b in np.lexsort((np.arange(3000), -np.round(s[a], 6)))[:10] if s[a, b] >= 0.85}
+    got = {(r.chunk_id, r.other_id) for r in similar.most_similar(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(want) > 9900 and got == want
+
+
 @pytest.mark.parametrize(("together", "hot"), [(8192, 16_384), (3, 16_384), (8192, 60)])
 def test_clusters(spark, monkeypatch, together, hot):
     monkeypatch.setattr(clusters, "MOST_TOGETHER", together)
