@@ -1,9 +1,10 @@
 """Problem 6: lines that one source prints in many of its documents.
 
 Lines are masked (numbers, dates, names) and put into classes by their letters; the classes of each source are clustered
-by locality-sensitive hashing of five-word shingles of the masked line, members verified against the cluster's most
-frequent line; clusters that stand in many documents are the source's boilerplate. The classes by letters are one more
-band of the hashing, so equal lines always meet, whatever their masks.
+by five-word shingles of the masked line: locality-sensitive hashing ties members of a band to its most frequent line,
+an exact prefix filter finds the similar lines that this left apart, and verified links are joined to components.
+Components that stand in many documents are the source's boilerplate. Classes are made by letters, so equal lines always
+meet, whatever their masks.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.common import U64, batches_of, gram_hashes, mix, signed, string_hashes, table, written
+from lectern.llm.components import components
 
 NOT_LETTERS = re.compile("[^a-z]+")
 # Month names that make a date.
@@ -69,19 +71,8 @@ def line_bands(classes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches_of(batches, 4096):
-            lines = part.column("line").to_pylist()
             source = part.column("source_key").to_numpy().view(U64)
-            tokens = [masked(x) for x in lines]
-            size = np.array([len(t) for t in tokens])
-            symbols = token_symbols(tokens)
-            grams = np.maximum(size - SHINGLE + 1, 1)
-            owner = np.repeat(np.arange(len(lines)), grams)
-            start = np.repeat(np.cumsum(size) - size, grams) + np.arange(grams.sum()) - np.repeat(np.cumsum(grams) - grams, grams)
-            padded = np.concatenate([symbols, np.zeros(SHINGLE, U64)])
-            g = gram_hashes(padded, SHINGLE)[start]
-            short = size[owner] < SHINGLE  # one shingle: the whole line
-            for k in np.flatnonzero(short):
-                g[k] = mix(np.array([hash_of(tokens[owner[k]])], U64))[0]
+            g, grams, _ = line_shingles(part.column("line").to_pylist())
             first = np.cumsum(grams) - grams
             bands = []
             for b in range(BANDS):
@@ -98,6 +89,89 @@ def line_bands(classes: DataFrame) -> DataFrame:
     return classes.select("source_key", "line_key", "docs", "line").mapInArrow(run, "line_key long, docs long, band long")
 
 
+def line_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the shingles of masked lines, their number for each line, and the line of each; a line under five tokens is one shingle."""
+    tokens = [masked(x) for x in lines]
+    size = np.array([len(t) for t in tokens])
+    symbols = token_symbols(tokens)
+    grams = np.maximum(size - SHINGLE + 1, 1)
+    owner = np.repeat(np.arange(len(lines)), grams)
+    start = np.repeat(np.cumsum(size) - size, grams) + np.arange(grams.sum()) - np.repeat(np.cumsum(grams) - grams, grams)
+    padded = np.concatenate([symbols, np.zeros(SHINGLE, U64)])
+    g = gram_hashes(padded, SHINGLE)[start]
+    short = size[owner] < SHINGLE  # one shingle: the whole line
+    for k in np.flatnonzero(short):
+        g[k] = mix(np.array([hash_of(tokens[owner[k]])], U64))[0]
+    return g, grams, owner
+
+
+def line_prefixes(classes: DataFrame) -> DataFrame:
+    """(shingle, line_key, cluster, n, place): the least shingles of each class, so many that two classes with SIMILARITY share one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches_of(batches, 4096):
+            g, _, owner = line_shingles(part.column("line").to_pylist())
+            g = mix(g ^ mix(part.column("source_key").to_numpy().view(U64))[owner])
+            order = np.lexsort((g, owner))
+            g, owner = g[order], owner[order]
+            new = np.concatenate([[True], (g[1:] != g[:-1]) | (owner[1:] != owner[:-1])])
+            g, owner = g[new], owner[new]
+            n = np.bincount(owner, minlength=part.num_rows)
+            place = np.arange(len(g)) - (np.cumsum(n) - n)[owner]
+            keep = place <= (n - np.ceil(n * SIMILARITY - 1e-9))[owner]
+            g, owner, place = g[keep], owner[keep], place[keep]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(g)), pa.array(part.column("line_key").to_numpy()[owner]), pa.array(part.column("cluster").to_numpy()[owner]), pa.array(n[owner].astype(np.int32)), pa.array(place.astype(np.int32))],
+                names=["shingle", "line_key", "cluster", "n", "place"],
+            )
+
+    return classes.select("source_key", "line_key", "cluster", "line").mapInArrow(run, "shingle long, line_key long, cluster long, n int, place int")
+
+
+def prefix_pairs(prefixes: DataFrame) -> DataFrame:
+    """(line_key, head_key): classes of different clusters that share a shingle of their prefixes and may have SIMILARITY."""
+
+    def pairs(key: np.ndarray, cluster: np.ndarray, n: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+        step = max(1, (1 << 20) // len(key))
+        for at in range(0, len(key), step):
+            i = slice(at, at + step)
+            a, b = n[i, None], n[None, :]
+            # where this shingle is the first that both have, no more than these can be common
+            common = np.minimum(a - place[i, None], b - place[None, :])
+            fits = (common * (1 + SIMILARITY) >= SIMILARITY * (a + b) - 1e-6) & (cluster[i, None] != cluster[None, :]) & (key[i, None] < key[None, :])
+            x, y = np.nonzero(fits)
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(key[at + x]), pa.array(key[y])], names=["line_key", "head_key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+        for batch in _and_end(batches):
+            if batch is not None and batch.num_rows:
+                kept.append(batch)
+                shingle = batch.column(0).to_numpy()
+                if shingle[0] == shingle[-1] == kept[0].column(0)[0].as_py():
+                    continue  # the group may go on
+            if not kept:
+                continue
+            t = pa.Table.from_batches(kept)
+            columns = [t.column(k).to_numpy() for k in range(5)]
+            new = np.flatnonzero(np.concatenate([[True], np.diff(columns[0]) != 0]))
+            ends = np.concatenate([new[1:], [t.num_rows]])
+            if batch is not None:  # the last group may go on
+                kept = t.slice(int(new[-1])).combine_chunks().to_batches()
+                new, ends = new[:-1], ends[:-1]
+            for lo, hi in zip(new[ends - new > 1], ends[ends - new > 1]):
+                if (columns[2][lo:hi] != columns[2][lo]).any():
+                    yield from pairs(*(c[lo:hi] for c in columns[1:]))
+
+    return prefixes.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(run, "line_key long, head_key long").distinct()
+
+
+def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
 def hash_of(tokens: list[str]) -> int:
     return int(string_hashes(["\0".join(tokens)])[0])
 
@@ -116,35 +190,46 @@ def shingles(line: str) -> set[tuple[str, ...]]:
 def repeated_lines(lines: DataFrame, least_docs: int = 6) -> DataFrame:
     """(line_key, docs, cluster_docs): the classes of lines that belong to a cluster standing in at least least_docs documents of the source.
 
-    docs counts the documents of the class itself, cluster_docs those of its cluster. A class is one of a cluster if it
-    meets the cluster's most frequent class in a band and their five-word shingles have a similarity of SIMILARITY or more.
+    docs counts the documents of the class itself, cluster_docs those of its cluster. Clusters are the connected
+    components of the source's classes whose five-word shingles have a similarity of SIMILARITY or more; none is missed.
     """
     per_document = lines.groupBy("source_key", "line_key", "document_key").agg(F.min("line").alias("line"))
     classes = per_document.groupBy("source_key", "line_key").agg(F.count("*").alias("docs"), F.min("line").alias("line"))
     classes = written(classes, "line_classes")
     banded = line_bands(classes)
-    # the most frequent class of each band stands for it; bands of one class or with few documents have no cluster to find
+    # the most frequent class of each band stands for it; this only saves pairs, the prefix filter finds what is left
     heads = banded.groupBy("band").agg(F.sum("docs").alias("n"), F.count("*").alias("members"), F.max(F.struct("docs", "line_key")).alias("head")).where((F.col("n") >= least_docs) & (F.col("members") > 1))
     pairs = banded.join(heads.select("band", F.col("head.line_key").alias("head_key")), "band").where("line_key <> head_key").select("line_key", "head_key").distinct()
     text = classes.select("line_key", "line")
+    first = written(near_lines(pairs, text), "band_links")
+    known = components(first.toDF("a", "b")).select(F.col("node").alias("line_key"), F.col("component").alias("cluster")) if first.limit(1).count() else first.selectExpr("line_key", "head_key as cluster")
+    apart = classes.join(known, "line_key", "left").withColumn("cluster", F.coalesce("cluster", "line_key"))
+    more = written(near_lines(written(prefix_pairs(line_prefixes(apart)), "prefix_pairs"), text), "prefix_links")
+    links = first.unionByName(more)
+    if not links.limit(1).count():
+        return classes.where(F.col("docs") >= least_docs).select("line_key", "docs", F.col("docs").alias("cluster_docs"))
+    clusters = written(components(links.selectExpr("line_key as a", "head_key as b")).selectExpr("node as line_key", "component as head_key"), "line_clusters")
+    joint = clusters.join(lines.select("line_key", "document_key").distinct(), "line_key").groupBy("head_key").agg(F.countDistinct("document_key").alias("cluster_docs"))
+    best = clusters.join(joint, "head_key").select("line_key", "cluster_docs")
+    return classes.select("line_key", "docs").join(best, "line_key", "left").select("line_key", "docs", F.coalesce("cluster_docs", "docs").alias("cluster_docs")).where(F.col("cluster_docs") >= least_docs)
+
+
+def near_lines(pairs: DataFrame, text: DataFrame) -> DataFrame:
+    """The pairs (line_key, head_key) whose shingles have SIMILARITY; text: (line_key, line)."""
     near = pairs.join(text, "line_key").join(text.toDF("head_key", "head_line"), "head_key").select("line_key", "line", "head_key", "head_line")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
-            for k, (x, y) in enumerate(zip(b.column(1).to_pylist(), b.column(3).to_pylist())):
-                p, q = shingles(x), shingles(y)
+            left, right = b.column(1).to_pylist(), b.column(3).to_pylist()
+            sets = {x: shingles(x) for x in {*left, *right}}
+            for k, (x, y) in enumerate(zip(left, right)):
+                p, q = sets[x], sets[y]
                 if len(p & q) >= SIMILARITY * len(p | q):
                     keep.append(k)
             yield b.select([0, 2]).take(pa.array(keep, pa.int64()))
 
-    links = near.mapInArrow(run, "line_key long, head_key long")
-    own = classes.select("line_key", F.col("line_key").alias("head_key"))
-    clusters = written(links.unionByName(own).distinct(), "line_clusters")
-    grown = clusters.groupBy("head_key").agg(F.count("*").alias("members")).where("members > 1").select("head_key")
-    joint = clusters.join(grown, "head_key").join(lines.select("line_key", "document_key").distinct(), "line_key").groupBy("head_key").agg(F.countDistinct("document_key").alias("cluster_docs"))
-    best = clusters.join(joint, "head_key").groupBy("line_key").agg(F.max("cluster_docs").alias("cluster_docs"))
-    return classes.select("line_key", "docs").join(best, "line_key", "left").select("line_key", "docs", F.greatest("docs", F.coalesce("cluster_docs", "docs")).alias("cluster_docs")).where(F.col("cluster_docs") >= least_docs)
+    return near.mapInArrow(run, "line_key long, head_key long")
 
 
 def boilerplate_lines(chunks: DataFrame, documents: DataFrame, least_docs: int = 6, least_letters: int = 30) -> DataFrame:

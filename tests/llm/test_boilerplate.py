@@ -1,7 +1,8 @@
+import random
 import re
 from collections import defaultdict
 
-from lectern.llm.boilerplate import boilerplate_lines, without_boilerplate
+from lectern.llm.boilerplate import boilerplate_lines, shingles, without_boilerplate
 
 CHUNKS = "chunk_id string, document_id string, modality string, content string, source string, line_key string"
 DOCS = "document_id string, metadata struct<category:string,source:string>, chunk_id string"
@@ -45,3 +46,34 @@ def test_removal_and_empty(spark):
     assert got["c1"] == (rows[1][3].split("\n")[0] + "\n", 1) and got["c13"][1] == 1 and got["n1"] == (None, 0) and got["s3"] == ("", 1)
     assert "i1" not in got and got["twice"] == ("", 3)
     assert boilerplate_lines(spark.createDataFrame([], CHUNKS), d).count() == 0
+
+
+def similar_templates():
+    """Per template eight variants of one document each; templates alike but not near, and a chain whose ends aren't near."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    common, lines = [word() for _ in range(40)], []
+    for _ in range(30):
+        own = common[:26] + [word() for _ in range(34)]
+        lines += [own[:-1] + [word()] for _ in range(8)]
+    chain = [word() for _ in range(60)]
+    for k in range(9):
+        chain = chain[:6 * k] + [word()] + chain[6 * k + 1 :]
+        lines.append(chain)
+    return [" ".join(x) for x in lines]
+
+
+def test_clusters_of_similar_templates(spark):
+    lines = similar_templates()
+    sets = [shingles(x) for x in lines]
+    group = list(range(len(lines)))
+    for a in range(len(lines)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = group[a], group[b]
+                group = [y if g == x else g for g in group]
+    want = {f"c{k}": group.count(group[k]) for k in range(len(lines)) if group.count(group[k]) >= 6}
+    rows = [(f"c{k}", f"d{k}", "text", x, "x", "x") for k, x in enumerate(lines)]
+    docs = [(f"d{k}", ("c", "one"), "x") for k in range(len(lines))]
+    got = {r.chunk_id: r.cluster_docs for r in boilerplate_lines(spark.createDataFrame(rows, CHUNKS), spark.createDataFrame(docs, DOCS)).collect()}
+    assert got == want and len(want) == len(lines) and set(want.values()) == {8, 9}
