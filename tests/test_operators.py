@@ -228,3 +228,14 @@ def test_stream(spark, tmp_path):
     q = stream.chunk_stream(source).writeStream.format("memory").queryName("chunks").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("chunks").count() == store.read().count()
+
+
+def test_all_known_types_are_embedded(spark, tmp_path):
+    from lectern.operators.embedding import Hashing
+    from lectern.plans.all_queries import QUERIES
+
+    rows = [(k, k, f"some {k} words") for k in ("text", "image", "table", "code", "figure", "other")] + [("none", "text", None)]
+    spark.createDataFrame(rows, "chunk_id string, modality string, content string").write.parquet(f"{tmp_path}/document_chunks.parquet")
+    got = {r.chunk_id: r.embedding for r in QUERIES["emb_generate_all"](spark, str(tmp_path)).collect()}
+    assert set(got) == {"text", "image", "table", "code", "figure", "none"}
+    assert all(got[k] == Hashing()([t or ""])[0].tolist() and len(got[k]) == 64 for k, _, t in rows if k in got)
