@@ -200,6 +200,27 @@ def chunk_modality_g2(spark, d):
     return both.groupBy("document_id", "type").agg(F.count("*").alias("n"), F.sum(F.length("content").cast("bigint")).alias("chars"))
 
 
+@query("prj_content_figure_all")
+def prj_content_figure_all(spark, d):
+    """Figures numbered after the document's code chunks; the SQL of prj_content_figure has no code."""
+    return _chunks(spark, d).where("type = 'figure'").select("document_id", "content", "page_number", "item_index", "chunk_index")
+
+
+@query("chunk_modality_g2_all")
+def chunk_modality_g2_all(spark, d):
+    """chunk_modality_g2 with code chunks; text chunks are those of the table here too."""
+    text = table(spark, d, "document_chunks").where("modality = 'text' and content is not null").select("document_id", F.lit("text").alias("type"), "content")
+    both = union_chunks(text, _chunks(spark, d))
+    return both.groupBy("document_id", "type").agg(F.count("*").alias("n"), F.sum(F.length("content").cast("bigint")).alias("chars"))
+
+
+@query("join_enrich_lookup_all")
+def join_enrich_lookup_all(spark, d):
+    """join_enrich_lookup over all kinds, with the measures of code."""
+    out = content.join_enrich_lookup(_chunks(spark, d).select("document_id", "type", "chunk_index"), table(spark, d, IMG), table(spark, d, TAB), _code(spark, d))
+    return out.select("document_id", "type", "chunk_index", "image_dimensions", "image_size_bytes", "table_rows", "table_columns", "table_cells", F.col("found_code_type").alias("code_type"), "code_lines", "code_characters")
+
+
 @query("set_union_chunks", "select modality as type, cast(count(*) as bigint) as n from (select modality from document_chunks where modality = 'text' union all select modality from document_chunks where modality <> 'text') x group by 1")
 def set_union_chunks(spark, d):
     c = table(spark, d, "document_chunks").select("chunk_id", "modality", "content")

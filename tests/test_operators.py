@@ -239,3 +239,23 @@ def test_all_known_types_are_embedded(spark, tmp_path):
     got = {r.chunk_id: r.embedding for r in QUERIES["emb_generate_all"](spark, str(tmp_path)).collect()}
     assert set(got) == {"text", "image", "table", "code", "figure", "none"}
     assert all(got[k] == Hashing()([t or ""])[0].tolist() and len(got[k]) == 64 for k, _, t in rows if k in got)
+
+
+def test_content_queries_with_code(spark, tmp_path):
+    from lectern.plans.all_queries import QUERIES
+    from tests.conftest import DATA
+
+    for name in ("image_records", "table_records"):
+        df = spark.read.parquet(f"{DATA}/{name}.parquet")
+        if name == "image_records":
+            from lectern.operators.content import figures
+
+            df = figures(df.distinct()).drop("figure_type").limit(1).withColumn("document_id", F.lit("d"))
+        (df if name == "image_records" else df.limit(0)).write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = [("c", "d", 1, "code", "`one` and `three`"), ("t", "d", 1, "text", "words")]
+    spark.createDataFrame(rows, "chunk_id string, document_id string, page_number int, modality string, content string").write.parquet(f"{tmp_path}/document_chunks.parquet")
+    run = lambda name: QUERIES[name](spark, str(tmp_path)).collect()
+    assert [r.chunk_index for r in run("prj_content_figure_all")] == [3]  # after an image and two code chunks
+    assert {r.type: (r.n, r.chars) for r in run("chunk_modality_g2_all") if r.type in ("code", "text")} == {"code": (2, 8), "text": (1, 5)}
+    got = {r.chunk_index: r for r in run("join_enrich_lookup_all") if r.type == "code"}
+    assert set(got) == {1, 2} and (got[2].code_type, got[2].code_lines, got[2].code_characters) == ("inline_code", 1, 5)
