@@ -113,6 +113,52 @@ def hashed_sample(df: DataFrame, hashed: F.Column, most: int, rows: int) -> Data
     return df.orderBy("_hash", *[c for c in df.columns if c != "_hash"]).limit(most).drop("_hash")
 
 
+class Bloom:
+    """A set of 64-bit keys as bits: no key of the set is missed, few others pass. A key's bits lie in one of SEGMENTS segments, so each segment is made by one task."""
+
+    SEGMENTS, HASHES = 64, 4
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits = bits  # (SEGMENTS, bytes)
+
+    @staticmethod
+    def places(keys: np.ndarray, size: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Segment of each key, and its bits there; size: bits of a segment, a power of two."""
+        h = mix(keys.view(U64) + GOLDEN)
+        step = mix(h) | U64(1)
+        return (keys.view(U64) % U64(Bloom.SEGMENTS)).astype(np.int64), [(h + U64(j) * step) % U64(size) for j in range(Bloom.HASHES)]
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        segment, bits = self.places(keys, self.bits.shape[1] * 8)
+        out = np.ones(len(keys), bool)
+        for b in bits:
+            out &= (self.bits[segment, b >> U64(3)] >> (b & U64(7)).astype(np.uint8)) & 1 == 1
+        return out
+
+
+def bloom(keys: DataFrame, n: int) -> Bloom:
+    """The filter of keys (one long column) of which there are about n: 16 bits a key, 32 MB at most. Beyond that more keys pass; the joins behind it stay right."""
+    size = 1 << min(22, max(12, int(np.ceil(np.log2(max(1, n) * 16 / Bloom.SEGMENTS)))))
+    name = keys.columns[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[int, np.ndarray] = {}
+        for batch in batches:
+            segment, bits = Bloom.places(batch.column(0).to_numpy(), size)
+            for s in np.unique(segment).tolist():
+                mine = made.setdefault(s, np.zeros(size // 8, np.uint8))
+                for b in bits:
+                    at = b[segment == s]
+                    np.bitwise_or.at(mine, at >> U64(3), np.uint8(1) << (at & U64(7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array(list(made), pa.int32()), pa.array([m.tobytes() for m in made.values()], pa.binary())], names=["segment", "bits"])
+
+    out = np.zeros((Bloom.SEGMENTS, size // 8), np.uint8)
+    parts = keys.select(F.col(name).alias("key")).repartition(F.pmod("key", F.lit(Bloom.SEGMENTS))).mapInArrow(run, "segment int, bits binary")
+    for r in parts.collect():  # SEGMENTS rows, 32 MB at most
+        out[r["segment"]] |= np.frombuffer(r["bits"], np.uint8)
+    return Bloom(out)
+
+
 def words(column) -> F.Column:
     """The words of a string column, on the JVM side."""
     return F.regexp_extract_all(F.lower(column), F.lit("[a-z0-9]+"), F.lit(0))

@@ -4,7 +4,7 @@ Scanned documents are told by words broken at line ends and by numbered page edg
 found at the edges of pages by what a document's edges have in common. Misread words go through a noisy channel: the
 confusion probabilities are learned from proofread pages, the likelihood of words and word pairs is counted over all
 documents that aren't scans, and each line's words are decoded by Viterbi over the candidates. Words broken at line ends
-are joined, also over chunks and pages.
+are joined, also over chunks and pages. Only chunks of modality text are read: no document with proofread pages has others.
 """
 
 from __future__ import annotations
@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.llm.common import hashed_sample, partitions, table, written
+from lectern.llm.common import GOLDEN, U64, bloom, hashed_sample, mix, partitions, signed, string_hashes, table, written
 
 #: Proofread pages that confusions are learned from: those whose ids have the least hashes.
 MOST_PROOFREAD = 300
-#: The commonest words are known to every task, so that only the others are looked up by a join.
-MOST_KNOWN = 100_000
-MOST_PAIRS = 200_000
+#: Words and pairs that a task counts before it passes them on.
+MOST_HELD = 1_000_000
+#: A word is one that other documents have so often. Count of a word that was never seen, and of a pair before any is seen.
+LEAST_SEEN, UNSEEN, PAIR_PRIOR = 3, 0.001, 0.05
 # Marks that break a word, and misread character - meant character.
 MARKS = "-­¬‐‑"
 CONFUSIONS = [
@@ -105,38 +106,83 @@ def scan_evidence(chunks: DataFrame) -> DataFrame:
     return found.select("document_id", (often("breaks", 2, 0.01) | often("numbers", 2, 0.03) | often("odd", 1, 0.03) | (kinds >= 2)).alias("scanned"))
 
 
-def sorted_out(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """scanned chunks (distinct rows), and (word, n): words of all other documents with their counts."""
+class Counts:
+    """Words and pairs of neighbouring words of a task's texts, counted by number until they are taken."""
+
+    def __init__(self) -> None:
+        self.restart()
+
+    def restart(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.words, self.pairs, self.held = [], [], 0
+
+    def add(self, texts: list[str]) -> None:
+        ids, known = [], self.ids
+        for text in texts:
+            ids += [known.setdefault(w, len(known)) for w in WORD.findall(text.lower())]
+            ids.append(-1)  # pairs don't reach over texts
+        at = np.array(ids, np.int64)
+        both = (at[:-1] >= 0) & (at[1:] >= 0)
+        for kept, values in ((self.words, at[at >= 0]), (self.pairs, at[:-1][both] << 32 | at[1:][both])):
+            kept.append(np.unique(values, return_counts=True))
+            self.held += len(kept[-1][0])
+
+    def take(self) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """(words, counts, pair keys, counts); counting begins anew."""
+        names = list(self.ids)
+        hashes = mix(string_hashes(names)) if names else np.empty(0, U64)
+        w, wn = summed(self.words)
+        p, pn = summed(self.pairs)
+        self.restart()
+        return [names[k] for k in w.tolist()], wn, pair_keys(hashes[p >> 32], hashes[p & 0xFFFFFFFF]), pn
+
+
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if not parts:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    values, at = np.unique(np.concatenate([v for v, _ in parts]), return_inverse=True)
+    return values, np.bincount(at, np.concatenate([n for _, n in parts]), len(values)).astype(np.int64)
+
+
+def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Keys of pairs of words, from the words' mixed hashes."""
+    return signed(mix(left * GOLDEN + right))
+
+
+def sorted_out(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """scanned chunks (distinct rows), (word, n) and (pair, n): words of all other documents, and pairs of neighbouring ones by key, with their counts.
+
+    Texts are read once for this, whatever is asked of the counts afterwards; they are summed up in the tasks first.
+    """
     text = chunks.where("modality = 'text' and chunk_id is not null and document_id is not null and content is not null").select("chunk_id", "document_id", "page_number", "chunk_index", "content")
     flags = written(scan_evidence(text), "scan_flags")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["chunk_id", "document_id", "page_number", "chunk_index", "content", "word", "n"]
-        kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64()]
-        counts: Counter[str] = Counter()
+        names = ["chunk_id", "document_id", "page_number", "chunk_index", "content", "word", "pair", "n"]
+        kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+        counts = Counts()
 
-        def flush() -> pa.RecordBatch:
-            size = len(counts)
-            out = pa.RecordBatch.from_arrays([*(pa.nulls(size, k) for k in kinds[:5]), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=names)
-            counts.clear()
-            return out
+        def flush() -> Iterator[pa.RecordBatch]:
+            words, n, keys, m = counts.take()
+            for word, pair, many in ((pa.array(words, pa.string()), pa.nulls(len(words), pa.int64()), n), (pa.nulls(len(keys), pa.string()), pa.array(keys), m)):
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(many), k) for k in kinds[:5]), word, pair, pa.array(many)], names=names)
 
         for batch in batches:
             scanned = batch.column(5).to_numpy(zero_copy_only=False)
-            for text in batch.column(4).filter(pa.array(~scanned)).to_pylist():
-                counts.update(WORD.findall(text.lower()))
-            if len(counts) > 200_000:
-                yield flush()
+            counts.add(batch.column(4).filter(pa.array(~scanned)).to_pylist())
+            if counts.held > MOST_HELD:
+                yield from flush()
             if scanned.any():
                 kept = batch.filter(pa.array(scanned))
-                yield pa.RecordBatch.from_arrays([*(kept.column(k) for k in range(5)), pa.nulls(kept.num_rows, pa.string()), pa.nulls(kept.num_rows, pa.int64())], names=names)
-        yield flush()
+                yield pa.RecordBatch.from_arrays([*(kept.column(k) for k in range(5)), *(pa.nulls(kept.num_rows, k) for k in kinds[5:])], names=names)
+        yield from flush()
 
     both = text.join(flags, "document_id").select("chunk_id", "document_id", "page_number", "chunk_index", "content", "scanned")
-    both = written(both.mapInArrow(run, "chunk_id string, document_id string, page_number int, chunk_index int, content string, word string, n long"), "sorted_out")
+    both = written(both.mapInArrow(run, "chunk_id string, document_id string, page_number int, chunk_index int, content string, word string, pair long, n long"), "sorted_out")
     scans = both.where("chunk_id is not null").groupBy("chunk_id").agg(F.min(F.struct("document_id", F.coalesce("chunk_index", F.lit(0)).alias("chunk_index"), "page_number", "content")).alias("c")).select("chunk_id", "c.*")
     words = both.where("word is not null").groupBy("word").agg(F.sum("n").alias("n"))
-    return written(scans, "scans"), written(words, "words")
+    pairs = both.where("pair is not null").groupBy("pair").agg(F.sum("n").alias("n"))
+    return written(scans, "scans"), written(words, "words"), pairs
 
 
 def edge_lines(scans: DataFrame) -> DataFrame:
@@ -206,26 +252,31 @@ def body_lines(text: str, gone: set[int]) -> list[tuple[int, str]]:
 
 
 def linked(scans: DataFrame, marks: DataFrame) -> DataFrame:
-    """scans with gone (lines that are marks), next_word (the word the next chunk's body begins with) and broken_before."""
+    """scans with gone (lines that are marks), broken_before, and of the document's next chunk with any body: next_word (what it begins with), next_chunk and next_line.
+
+    Chunks of blank lines and marks are passed over, however many there are.
+    """
     gone = marks.groupBy("chunk_id").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
     rows = scans.join(gone, "chunk_id", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts, ends = [], []
+            starts, first, ends = [], [], []
             for text, gone in zip(batch.column("content").to_pylist(), batch.column("gone").to_pylist()):
                 body = body_lines(text, set(gone))
                 m = STARTS_MARKED.match(body[0][1].lstrip()) if body else None
-                starts.append(m[0] if m else None if not body else "")
+                starts.append(m[0] if m else ""), first.append(body[0][0] if body else None)
                 ends.append(bool(body and BROKEN.search(body[-1][1].rstrip())))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(6)), pa.array(starts, pa.string()), pa.array(ends)], names=["chunk_id", "document_id", "chunk_index", "page_number", "content", "gone", "starts", "ends"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(6)), pa.array(starts, pa.string()), pa.array(first, pa.int32()), pa.array(ends)], names=["chunk_id", "document_id", "chunk_index", "page_number", "content", "gone", "starts", "first", "ends"])
 
-    out = rows.select("chunk_id", "document_id", "chunk_index", "page_number", "content", "gone").mapInArrow(run, "chunk_id string, document_id string, chunk_index int, page_number int, content string, gone array<int>, starts string, ends boolean")
-    order = W.partitionBy("document_id").orderBy("chunk_index", "chunk_id")
-    following = order.rowsBetween(1, W.unboundedFollowing)
-    preceding = order.rowsBetween(W.unboundedPreceding, -1)
-    filled = F.when(F.col("starts").isNotNull(), F.col("ends"))
-    return out.withColumn("next_word", F.first("starts", ignorenulls=True).over(order.rowsBetween(1, 8))).withColumn("broken_before", F.coalesce(F.last(filled, ignorenulls=True).over(order.rowsBetween(-8, -1)), F.lit(False))).drop("starts", "ends")
+    out = rows.select("chunk_id", "document_id", "chunk_index", "page_number", "content", "gone").mapInArrow(run, "chunk_id string, document_id string, chunk_index int, page_number int, content string, gone array<int>, starts string, first int, ends boolean")
+    # both windows grow row by row, so a document of any number of chunks takes one pass each
+    so_far = lambda *order: W.partitionBy("document_id").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    filled = lambda c: F.when(F.col("first").isNotNull(), c)
+    following = F.last(filled(F.struct("starts", "chunk_id", "first")), ignorenulls=True).over(so_far(F.desc("chunk_index"), F.desc("chunk_id")))
+    broken = F.last(filled(F.col("ends")), ignorenulls=True).over(so_far("chunk_index", "chunk_id"))
+    out = out.withColumn("next", following).withColumn("broken_before", F.coalesce(broken, F.lit(False)))
+    return out.select("chunk_id", "document_id", "chunk_index", "page_number", "content", "gone", "broken_before", F.col("next.starts").alias("next_word"), F.col("next.chunk_id").alias("next_chunk"), F.col("next.first").alias("next_line"))
 
 
 def goes_on(word: str | None) -> bool:
@@ -329,161 +380,197 @@ def learned(scans: DataFrame, proofread: DataFrame, most: int = MOST_PROOFREAD)
     return Channel(counts, meant)
 
 
-def unknown_words(links: DataFrame, known: frozenset[str]) -> DataFrame:
-    """(chunk_id, line_no, kind, word, at, rest_line, before, after): rows of kind hyphen for broken words, and of kind word for words that aren't among the commonest."""
-    shared = links.sparkSession.sparkContext.broadcast(known)
+def scan_lines(links: DataFrame) -> DataFrame:
+    """(chunk_id, line_no, hyphen, words, at, rest): the lines of scans with their words in lower case, the length of a word's part on its line, and the line of the rest (0: none, -1: in the next chunk)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+        kinds = [pa.string(), pa.int32(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32())]
         for batch in batches:
             out = []
             for chunk, text, gone, next_word, broken in zip(*(batch.column(c).to_pylist() for c in ("chunk_id", "content", "gone", "next_word", "broken_before"))):
                 for n, words, hyphen in line_words(text, gone, next_word, broken):
-                    if hyphen:
-                        out.append((chunk, n, "hyphen", None, None, None, None, None))
-                    low = [w.lower() for w, _, _ in words]
-                    for k, (_, at, rest) in enumerate(words):
-                        w = low[k]
-                        if w not in shared.value and not w.isdigit():
-                            out.append((chunk, n, "word", w, at, rest, low[k - 1] if k else None, low[k + 1] if k + 1 < len(low) else None))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 8, kinds)], names=["chunk_id", "line_no", "kind", "word", "at", "rest_line", "before", "after"])
+                    if words:
+                        out.append((chunk, n, hyphen, [w.lower() for w, _, _ in words], [a for _, a, _ in words], [r for _, _, r in words]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, kinds)], names=["chunk_id", "line_no", "hyphen", "words", "at", "rest"])
 
-    return links.mapInArrow(run, "chunk_id string, line_no int, kind string, word string, at int, rest_line int, before string, after string")
+    return links.select("chunk_id", "content", "gone", "next_word", "broken_before").mapInArrow(run, "chunk_id string, line_no int, hyphen boolean, words array<string>, at array<int>, rest array<int>")
 
 
-def candidates(found: DataFrame, words: DataFrame, channel: Channel, least_seen: int = 3) -> DataFrame:
-    """(word, meant, score): of each word seen in scans what it may stand for; itself is a candidate where other documents have it."""
+def candidates(lines: DataFrame, words: DataFrame, channel: Channel, least_seen: int = LEAST_SEEN) -> DataFrame:
+    """(word, c): the words of scans that may have to be read otherwise, each with its candidates (score, meant), best first.
+
+    A word may be what it is, or any word that other documents have least_seen times and that up to two confusions make
+    of it. A score is the channel's log probability plus the log of the word's count. Pairs of neighbours add something
+    between 0 and what a pair counted as often as the word itself would add, on either side: only candidates that lose
+    whatever the neighbours are get left out, so decoding gives what it would give with all of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for w in batch.column(0).to_pylist():
-                one = channel.meanings(w)
-                out += [(w, m, c, 1) for m, c in one.items()]
+                if w.isdigit():
+                    continue
+                found = channel.meanings(w)
                 if len(w) >= 5:
-                    out += [(w, m, c, 2) for m, c in channel.meanings_twice(w).items() if m not in one]
-                out.append((w, w, 0.0, 0))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, [pa.string(), pa.string(), pa.float64(), pa.int32()])], names=["word", "meant", "cost", "edits"])
-
-    distinct = found.where("kind = 'word'").select("word").distinct()
-    made = distinct.repartition(partitions(found.sparkSession)).mapInArrow(run, "word string, meant string, cost double, edits int")
-    met = made.join(words.select(F.col("word").alias("meant"), "n"), "meant", "left").where("edits = 0 or n is not null")
-    scored = met.where((F.col("edits") == 0) | (F.col("n") >= least_seen)).select("word", "meant", "edits", (F.col("cost") + F.log(F.coalesce("n", F.lit(0)) + 0.001)).alias("score"))
-    # two confusions only where one explains nothing
-    fewest = scored.where("edits > 0").groupBy("word").agg(F.min("edits").alias("fewest"))
-    return scored.join(fewest, "word").where("edits = 0 or edits = fewest").select("word", "meant", "score")
-
-
-def pair_counts(chunks: DataFrame, flags_words: DataFrame) -> DataFrame:
-    """(left, right, n): how often wanted pairs of words stand next to each other, over all text chunks; wanted is sliced so that no broadcast exceeds a bound."""
-    spark = chunks.sparkSession
-    n = flags_words.count()
-    out = None
-    for k in range(max(1, -(-n // MOST_PAIRS))):
-        part = flags_words.where(F.pmod(F.xxhash64("left", "right"), F.lit(max(1, -(-n // MOST_PAIRS)))) == k)
-        wanted = spark.sparkContext.broadcast({(r[0], r[1]) for r in part.toLocalIterator()})
-        lefts = spark.sparkContext.broadcast({a for a, _ in wanted.value})
-
-        def run(batches: Iterator[pa.RecordBatch], wanted=wanted, lefts=lefts) -> Iterator[pa.RecordBatch]:
-            counts: Counter[tuple[str, str]] = Counter()
-            first, want = lefts.value, wanted.value
-            for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    w = WORD.findall(text.lower())
-                    counts.update(p for p in zip(w, w[1:]) if p[0] in first and p in want)
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in counts], pa.string()), pa.array([b for _, b in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["left", "right", "n"])
+                    found = channel.meanings_twice(w) | found
+                found.pop(w, None)
+                out += [(w, m, c) for m, c in found.items()]
+                out.append((w, w, 0.0))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 3, [pa.string(), pa.string(), pa.float64()])], names=["word", "meant", "cost"])
 
-        found = chunks.where("modality = 'text' and content is not null").select("content").mapInArrow(run, "left string, right string, n long").groupBy("left", "right").agg(F.sum("n").alias("n"))
-        out = found if out is None else out.unionByName(found)
-    return out
+    distinct = lines.select(F.explode("words").alias("word")).distinct()
+    made = distinct.repartition(partitions(lines.sparkSession)).mapInArrow(run, "word string, meant string, cost double")
+    itself = F.col("word") == F.col("meant")
+    met = made.join(words.select(F.col("word").alias("meant"), "n"), "meant", "left").withColumn("n", F.coalesce("n", F.lit(0))).where(itself | (F.col("n") >= least_seen))
+    score = F.col("cost") + F.log(F.col("n") + UNSEEN)
+    most = score + 2 * F.log1p(F.col("n") / PAIR_PRIOR)
+    of = met.groupBy("word").agg(F.max(score).alias("best"), F.collect_list(F.struct(score.alias("score"), most.alias("most"), "meant")).alias("c"))
+    kept = F.transform(F.sort_array(F.filter("c", lambda x: x["most"] >= F.col("best")), asc=False), lambda x: F.struct(x["score"].alias("score"), x["meant"].alias("meant")))
+    return of.select("word", kept.alias("c")).where(F.exists("c", lambda x: x["meant"] != F.col("word")))
 
 
-def decoded(found: DataFrame, scored: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(chunk_id, line_no, word, at, rest_line, meant): every unknown word of scans with what it stands for, if that is another word.
+def word_key(words: list[str]) -> np.ndarray:
+    return signed(mix(string_hashes(words)))
 
-    Words with one likely meaning are settled by the channel and the word counts. Lines with a word of several meanings
-    are decoded by Viterbi over the candidates, with counts of word pairs.
+
+def open_words(lines: DataFrame, several: DataFrame) -> DataFrame:
+    """(chunk_id, line_no, k, word, at, rest_line, before, after, c): the words of lines, by place k, that have candidates.
+
+    The filter keeps the words without any from being shuffled.
+    """
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(word_key(batch.column(0).to_pylist()))], names=["key"])
+
+    filtered = lines.sparkSession.sparkContext.broadcast(bloom(several.select("word").mapInArrow(keys, "key long"), several.count()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+        passes: dict[str, bool] = {}
+        for batch in batches:
+            out = []
+            lists = batch.column("words").to_pylist()
+            new = list({w for words in lists for w in words}.difference(passes))
+            if len(passes) > MOST_HELD:
+                passes.clear()
+                new = list({w for words in lists for w in words})
+            if new:
+                passes.update(zip(new, filtered.value.holds(word_key(new)).tolist()))
+            for chunk, n, words, at, rest in zip(batch.column("chunk_id").to_pylist(), batch.column("line_no").to_pylist(), lists, batch.column("at").to_pylist(), batch.column("rest").to_pylist()):
+                for k, w in enumerate(words):
+                    if passes[w]:
+                        out.append((chunk, n, k, w, at[k], rest[k], words[k - 1] if k else None, words[k + 1] if k + 1 < len(words) else None))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 8, kinds)], names=["chunk_id", "line_no", "k", "word", "at", "rest_line", "before", "after"])
+
+    found = lines.select("chunk_id", "line_no", "words", "at", "rest").mapInArrow(run, "chunk_id string, line_no int, k int, word string, at int, rest_line int, before string, after string")
+    return found.join(several, "word")
+
+
+def steps(words: list[dict]) -> Iterator[tuple[list[str], list[str]]]:
+    """(left, right) of a line's places with candidates: the readings on either side of each border that one of them touches."""
+    for i, w in enumerate(words):
+        here = [c["meant"] for c in w["c"]]
+        if i and words[i - 1]["k"] == w["k"] - 1:
+            yield [c["meant"] for c in words[i - 1]["c"]], here
+        elif w["before"]:
+            yield [w["before"]], here
+        if w["after"] and not (i + 1 < len(words) and words[i + 1]["k"] == w["k"] + 1):
+            yield here, [w["after"]]
+
+
+def decoded(lines: DataFrame, words: DataFrame, pairs: DataFrame, channel: Channel) -> DataFrame:
+    """(chunk_id, line_no, k, word, at, rest_line, meant): the words of scans that stand for another word.
+
+    Each line is decoded by Viterbi over the candidates of all its words, with the counts of neighbouring pairs; a word
+    without other candidates is a place with one. pairs: (pair, n).
     """
-    best = scored.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("score", "meant")), asc=False).alias("c"))
-    best = best.withColumn("close", (F.size("c") > 1) & (F.col("c")[0]["score"] - F.col("c")[1]["score"] < 4.0))
-    best = written(best, "meanings")
-    rows = found.where("kind = 'word'").join(best, "word")
-    clear = rows.where("not close").select("chunk_id", "line_no", "word", "at", "rest_line", F.col("c")[0]["meant"].alias("meant"))
-    if not best.where("close").limit(1).count():
-        return clear.where("meant <> word")
-    several = written(rows.where("close").select("chunk_id", "line_no", "word", "at", "rest_line", "before", "after", F.slice("c", 1, 6).alias("c")), "ambiguous")
-    meant = several.select("before", "after", F.explode("c").alias("m")).select("before", "after", F.col("m.meant").alias("m"))
-    wanted = meant.where("before is not null").select(F.col("before").alias("left"), F.col("m").alias("right")).unionByName(meant.where("after is not null").select(F.col("m").alias("left"), F.col("after").alias("right")))
-    # neighbours that are ambiguous themselves
-    other = several.select(F.col("chunk_id").alias("k"), F.col("line_no").alias("l"), F.col("word").alias("w"), F.col("c").alias("d"))
-    joint = several.join(other, (F.col("chunk_id") == F.col("k")) & (F.col("line_no") == F.col("l")) & (F.col("after") == F.col("w"))).select(F.explode(F.col("c")["meant"]).alias("left"), "d").select("left", F.explode(F.col("d")["meant"]).alias("right"))
-    pairs = written(pair_counts(chunks, written(wanted.unionByName(joint).distinct(), "wanted_pairs")), "pair_counts")
-    of_line = several.groupBy("chunk_id", "line_no").agg(F.collect_list(F.struct("word", "at", "rest_line", "before", "after", "c")).alias("w"))
-    need = meant_pairs(several).join(pairs, ["left", "right"]).groupBy("chunk_id", "line_no").agg(F.collect_set(F.struct("left", "right", "n")).alias("p"))
+    several = written(candidates(lines, words, channel), "candidates")
+    parts = ["k", "word", "at", "rest_line", "before", "after", "c"]
+    lattice = open_words(lines, several).groupBy("chunk_id", "line_no").agg(F.sort_array(F.collect_list(F.struct(*parts))).alias("w"))
+    lattice = written(lattice, "lattices")
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each, keys = line_pairs(batch.column(2).to_pylist())
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in each]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(keys)], names=["chunk_id", "line_no", "pair"])
+
+    need = lattice.mapInArrow(wanted, "chunk_id string, line_no int, pair long").join(pairs, "pair")
+    counts = need.groupBy("chunk_id", "line_no").agg(F.collect_list(F.struct("pair", "n")).alias("p"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string()]
         for batch in batches:
             out = []
-            for chunk, n, words, counts in zip(*(batch.column(c).to_pylist() for c in ("chunk_id", "line_no", "w", "p"))):
-                seen = {(p["left"], p["right"]): p["n"] for p in counts or []}
-                for w, m in viterbi(words, seen):
-                    out.append((chunk, n, w["word"], w["at"], w["rest_line"], m))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string()])], names=["chunk_id", "line_no", "word", "at", "rest_line", "meant"])
-
-    lines = of_line.join(need, ["chunk_id", "line_no"], "left").select("chunk_id", "line_no", "w", "p")
-    settled = lines.mapInArrow(run, "chunk_id string, line_no int, word string, at int, rest_line int, meant string")
-    return clear.unionByName(settled).where("meant <> word")
-
-
-def meant_pairs(several: DataFrame) -> DataFrame:
-    each = several.select("chunk_id", "line_no", "before", "after", F.explode("c").alias("m"))
-    left = each.where("before is not null").select("chunk_id", "line_no", F.col("before").alias("left"), F.col("m.meant").alias("right"))
-    right = each.where("after is not null").select("chunk_id", "line_no", F.col("m.meant").alias("left"), F.col("after").alias("right"))
-    return left.unionByName(right).distinct()
-
-
-def viterbi(words: list[dict], seen: dict[tuple[str, str], int]) -> Iterator[tuple[dict, str]]:
-    """The likeliest meanings of a line's ambiguous words: runs of neighbouring ones are decoded together."""
-    pair = lambda a, b: log(seen.get((a, b), 0) + 0.05) - log(0.05) if a and b else 0.0
-    runs: list[list[dict]] = []
-    for w in words:
-        if runs and runs[-1][-1]["after"] == w["word"] and w["before"] == runs[-1][-1]["word"]:
-            runs[-1].append(w)
+            lists = batch.column("w").to_pylist()
+            each, keys = line_pairs(lists)
+            at = 0
+            for chunk, n, words, both, counted in zip(batch.column("chunk_id").to_pylist(), batch.column("line_no").to_pylist(), lists, each, batch.column("p").to_pylist()):
+                by_key = {p["pair"]: p["n"] for p in counted or []}
+                seen = {p: by_key[x] for p, x in zip(both, keys[at : at + len(both)].tolist()) if x in by_key} if by_key else {}
+                at += len(both)
+                for w, m in zip(words, viterbi(words, seen)):
+                    if m != w["word"]:
+                        out.append((chunk, n, w["k"], w["word"], w["at"], w["rest_line"], m))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 7, kinds)], names=["chunk_id", "line_no", "k", "word", "at", "rest_line", "meant"])
+
+    rows = lattice.join(counts, ["chunk_id", "line_no"], "left").select("chunk_id", "line_no", "w", "p")
+    return rows.mapInArrow(run, "chunk_id string, line_no int, k int, word string, at int, rest_line int, meant string")
+
+
+def line_pairs(lines: list[list[dict]]) -> tuple[list[list[tuple[str, str]]], np.ndarray]:
+    """Of each line the pairs of readings that can stand next to each other, and the keys of all of them, one after another."""
+    each = [list({(a, b) for lefts, rights in steps(w) for a in lefts for b in rights}) for w in lines]
+    names = list({w for both in each for pair in both for w in pair})
+    if not names:
+        return each, np.empty(0, np.int64)
+    hashes, at = mix(string_hashes(names)), {w: k for k, w in enumerate(names)}
+    return each, pair_keys(*(hashes[[at[pair[side]] for both in each for pair in both]] for side in (0, 1)))
+
+
+def viterbi(words: list[dict], seen: dict[tuple[str, str], int]) -> list[str]:
+    """The likeliest readings of a line's places with candidates (k, before, after, c), in order; seen: counts of pairs.
+
+    A place with one reading parts what is left of it from what is right, so the path starts anew behind it.
+    """
+
+    def bonus(a: str | None, b: str | None) -> float:
+        n = seen.get((a, b), 0)
+        return log(n / PAIR_PRIOR + 1) if n else 0.0
+
+    out: list[str] = []
+    paths: dict[str, tuple[float, list[str]]] = {}
+    for i, w in enumerate(words):
+        if i and words[i - 1]["k"] == w["k"] - 1:
+            paths = {c["meant"]: max((s + bonus(m, c["meant"]) + c["score"], [*path, c["meant"]]) for m, (s, path) in paths.items()) for c in w["c"]}
         else:
-            runs.append([w])
-    for run in runs:
-        paths = {c["meant"]: (c["score"] + pair(run[0]["before"], c["meant"]), [c["meant"]]) for c in run[0]["c"]}
-        for w in run[1:]:
-            paths = {c["meant"]: max((s + pair(m, c["meant"]) + c["score"], [*path, c["meant"]]) for m, (s, path) in paths.items()) for c in w["c"]}
-        _, path = max((s + pair(m, run[-1]["after"]), p) for m, (s, p) in paths.items())
-        yield from zip(run, path)
+            paths = {c["meant"]: (c["score"] + bonus(w["before"], c["meant"]), [c["meant"]]) for c in w["c"]}
+        if not (i + 1 < len(words) and words[i + 1]["k"] == w["k"] + 1):
+            out += max((s + bonus(m, w["after"]), p) for m, (s, p) in paths.items())[1]
+    return out
 
 
 class Repair:
-    """The stages of a repair, each made once: scans, marks, links, found (hyphens and unknown words), corrections."""
+    """The stages of a repair, each made once: scans, marks, links, by_line (the lines' words), corrections."""
 
     def __init__(self, chunks: DataFrame, proofread: DataFrame) -> None:
-        self.chunks = chunks
-        self.scans, self.words = sorted_out(chunks)
+        self.scans, self.words, self.pairs = sorted_out(chunks)
         self.marks = written(page_marks(self.scans), "page_marks")
         self.links = written(linked(self.scans, self.marks), "linked")
         self.channel = learned(self.scans, proofread)
-        common = dict(self.words.where("n >= 3").orderBy(F.desc("n"), "word").limit(MOST_KNOWN).select("word", "n").collect())
-        # a word that may be a misreading of a far commoner one has to be looked up too
-        doubtful = {w for w, n in common.items() if any(log(common[m]) + cost > log(n) - 2 for m, cost in self.channel.meanings(w).items() if m in common)}
-        self.found = written(unknown_words(self.links, frozenset(common) - doubtful), "unknown_words")
-        self.corrections = written(decoded(self.found, candidates(self.found, self.words, self.channel), chunks), "corrections")
+        self.by_line = written(scan_lines(self.links), "scan_lines")
+        self.corrections = written(decoded(self.by_line, self.words, self.pairs, self.channel), "corrections")
 
     def lines(self) -> DataFrame:
         """(chunk_id, line_no, kind)."""
-        hyphen = self.found.where("kind = 'hyphen'").select("chunk_id", "line_no", "kind")
+        hyphen = self.by_line.where("hyphen").select("chunk_id", "line_no", F.lit("hyphen").alias("kind"))
         marks = self.marks.select("chunk_id", "line_no", F.explode(F.array(F.when(F.col("header"), "header"), F.when(F.col("page_number"), "page_number"))).alias("kind")).where("kind is not null")
-        following = self.links.select("chunk_id", F.lead("chunk_id").over(W.partitionBy("document_id").orderBy("chunk_index", "chunk_id")).alias("next_chunk"), "gone")
-        first = first_body_lines(self.links)
         here = F.col("differs") < F.col("at")
         wrong = self.corrections.withColumn("differs", first_difference("word", "meant"))
         own = wrong.where(here | (F.col("rest_line") >= 0)).select("chunk_id", F.when(here | (F.col("rest_line") == 0), F.col("line_no")).otherwise(F.col("rest_line")).alias("line_no"))
-        over = wrong.where(~here & (F.col("rest_line") == -1)).select("chunk_id").join(following.select("chunk_id", "next_chunk"), "chunk_id").select(F.col("next_chunk").alias("chunk_id")).join(first, "chunk_id").select("chunk_id", "line_no")
+        over = wrong.where(~here & (F.col("rest_line") == -1)).select("chunk_id").join(self.links.select("chunk_id", "next_chunk", "next_line"), "chunk_id").where("next_chunk is not null").select(F.col("next_chunk").alias("chunk_id"), F.col("next_line").alias("line_no"))
         misread = own.unionByName(over).withColumn("kind", F.lit("misread"))
         return hyphen.unionByName(marks).unionByName(misread).distinct()
 
@@ -515,12 +602,6 @@ def first_difference(a: str, b: str) -> F.Column:
     return F.coalesce(F.array_min(F.filter(F.sequence(F.lit(1), n), lambda i: F.substring(F.col(a), i, F.lit(1)) != F.substring(F.col(b), i, F.lit(1)))), n) - 1
 
 
-def first_body_lines(links: DataFrame) -> DataFrame:
-    blank = r"^[\t-\r\x{1c}-\x{20}\x{85}\x{a0}]*$"
-    lines = F.transform(F.split("content", "\n", -1), lambda x, i: F.struct((i + 1).alias("n"), x.alias("x")))
-    return links.select("chunk_id", F.filter(lines, lambda s: ~F.array_contains("gone", s["n"]) & ~s["x"].rlike(blank))[0]["n"].alias("line_no")).where("line_no is not null")
-
-
 def repaired(text: str, gone: list[int], next_word: str | None, broken_before: bool, fixes: list[dict] | None) -> str:
     """A chunk's text as flowing paragraphs: without marks, broken words joined, misread words replaced; case is kept."""
     by_line: dict[int, dict[str, str]] = {}
