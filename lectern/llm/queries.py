@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p6_found": boilerplate.p6_found,
         "p6_clean": boilerplate.p6_clean,
         "p7_ids": tokenize.p7_ids,
+        "p7_texts": tokenize.p7_texts,
         "p8_found": leaks.p8_found,
         "p8_spans": leaks.p8_spans,
         "p8_clean": leaks.p8_clean,
@@ -33,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": spans.P1_SQL, "p3_found": clusters.P3_SQL, "p4_found": nearduplicates.P4_SQL, "p5_found": similar.P5_SQL, "p6_found": boilerplate.P6_SQL, "p8_found": leaks.P8_SQL}
+    return {"p1_found": spans.P1_SQL, "p3_found": clusters.P3_SQL, "p4_found": nearduplicates.P4_SQL, "p5_found": similar.P5_SQL, "p6_found": boilerplate.P6_SQL, "p7_texts": tokenize.P7_TEXTS_SQL, "p8_found": leaks.P8_SQL}

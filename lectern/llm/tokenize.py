@@ -3,8 +3,10 @@
 The merge table is compiled into a transducer over bytes whose states are made on first use (lazy determinisation).
 A state stands for a prefix of a pre-token; it stores the last token of that prefix's encoding and the state where
 that token begins. On reading a byte the transducer looks for the one token that ends here and is compatible with
-the last token of the state where it begins. Tokens leave at the end of the pre-token, so the lookahead is bounded
-by it. States and outputs of seen pre-tokens are kept, up to a bound after which they are made anew.
+the last token of the state where it begins. The next token begins no further back than the longest token is long, so
+where the paths back from all these places have met, what lies before is settled and leaves: memory and lookahead are
+bounded by that, not by the pre-token. States and outputs of seen pre-tokens are kept, up to a bound after which they are
+made anew; those of very long pre-tokens aren't.
 """
 
 from __future__ import annotations
@@ -45,6 +47,11 @@ class Transducer:
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.length = {i: len(b) for i, b in self.bytes_of.items()}
         self.longest = max(map(len, ranks))
+        # lengths of the tokens that end with the same two bytes, the longest first
+        ends: dict[bytes, set[int]] = {}
+        for b in ranks:
+            ends.setdefault(b[-2:], set()).add(len(b))
+        self.ends = {e: sorted(n, reverse=True) for e, n in ends.items()}
         self.most_states, self.most_outputs = most_states, most_outputs
         self.compatible: dict[int, bool] = {}
         self.outputs: dict[str, tuple[int, ...]] = {}
@@ -90,7 +97,7 @@ class Transducer:
         if len(self.last) > self.most_states:
             self.restart()
         if len(piece) > 64 * self.longest:
-            return self.run_long(piece)
+            return tuple(self.stream(piece))
         path, state = [0], 0
         for i, byte in enumerate(piece):
             to = self.arcs[state].get(byte)
@@ -110,28 +117,50 @@ class Transducer:
         return tuple(reversed(out))
 
     def step(self, piece: bytes, end: int, path: list[int]) -> tuple[int, int]:
-        for size in range(min(end, self.longest), 0, -1):
-            token = self.ranks.get(piece[end - size : end])
-            if token is not None and self.fits(self.last[path[end - size]], token):
-                return token, path[end - size]
+        for size in self.sizes(piece, end):
+            if size <= end:
+                token = self.ranks.get(piece[end - size : end])
+                if token is not None and self.fits(self.last[path[end - size]], token):
+                    return token, path[end - size]
         raise ValueError("the vocabulary lacks a byte")
 
-    def run_long(self, piece: bytes) -> tuple[int, ...]:
-        """The same for very long pre-tokens, whose states are not kept."""
-        last = [-1]
+    def sizes(self, piece: bytes, end: int) -> list[int]:
+        """How long a token that ends here may be, longest first."""
+        return [*self.ends.get(piece[max(0, end - 2) : end], ()), 1] if end > 1 else [1]
+
+    def stream(self, piece: bytes, every: int = 1024) -> Iterator[int]:
+        """Tokens of one pre-token of any length, each as soon as it is settled; no states are kept."""
+        base, last = 0, [-1]  # last[i]: the last token of the prefix that ends at base + i
         for end in range(1, len(piece) + 1):
-            for size in range(min(end, self.longest), 0, -1):
+            for size in self.sizes(piece, end):
+                at = end - size - base
+                if at < 0:
+                    continue
                 token = self.ranks.get(piece[end - size : end])
-                if token is not None and self.fits(last[end - size], token):
+                if token is not None and self.fits(last[at], token):
                     last.append(token)
                     break
             else:
                 raise ValueError("the vocabulary lacks a byte")
-        out, end = [], len(piece)
-        while end:
+            if end % every == 0:
+                # the paths back from every place where a later token can begin: where they meet, all before is settled
+                places = set(range(max(base, end + 1 - self.longest), end + 1))
+                while len(places) > 1:
+                    far = max(places)
+                    places.remove(far)
+                    places.add(far - self.length[last[far - base]])
+                meet = places.pop()
+                if meet > base:
+                    yield from self.back(last, meet - base)
+                    last, base = last[meet - base :], meet
+        yield from self.back(last, len(piece) - base)
+
+    def back(self, last: list[int], end: int) -> list[int]:
+        out = []
+        while end > 0:
             out.append(last[end])
             end -= self.length[last[end]]
-        return tuple(reversed(out))
+        return out[::-1]
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a text; none for null and for the empty text. Lone surrogates count as U+FFFD."""
@@ -237,5 +266,26 @@ def encode(documents: DataFrame, key: str = "doc_id", text: str = "text", vocabu
     return documents.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
 
 
+def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", vocabulary: str | None = None) -> DataFrame:
+    """(key, text): the text of every row's ids, by the incremental decoder; null and no ids give the empty text. Ids that the vocabulary lacks raise."""
+    path = vocabulary or vocabulary_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = transducer(path)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t.decode(x or []) for x in batch.column(1).to_pylist()], pa.string())], names=[key, "text"])
+
+    kind = encoded.schema[key].dataType.simpleString()
+    return encoded.select(key, ids).mapInArrow(run, f"`{key}` {kind}, text string")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"))
+
+
+def p7_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded again."""
+    return decode(encode(table(spark, sf_dir, "documents")))
+
+
+P7_TEXTS_SQL = "select doc_id, coalesce(text, '') as text from documents"

@@ -1,6 +1,6 @@
 import random
 
-from lectern.llm.tokenize import Utf8, encode, transducer, vocabulary_path
+from lectern.llm.tokenize import Utf8, decode, encode, transducer, vocabulary_path
 
 PIECES = ["a", "the", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "é", "ß", "中", "🙂", "'s", "12", "½", "<|endoftext|>", "​", " ", "ing", "́", "٣", "\r\n", "zz", "|"]
 
@@ -43,3 +43,28 @@ def test_table_cases(spark):
     got = [tuple(r) for r in out.collect()]
     assert sorted(got, key=str) == sorted([(1, [31373, 995]), (2, []), (3, []), (None, [220]), (1, [31373, 995])], key=str)
     assert encode(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_tokens_leave_before_the_piece_ends():
+    """Of a pre-token of any length, tokens come out as they settle, and are those of the kept states."""
+    t, rng = transducer(vocabulary_path()), random.Random(8)
+    for letters in ("ab", "abcdefghijklmnopqrstuvwxyz", "a", " ", "=-"):
+        piece = "".join(rng.choice(letters) for _ in range(6000)).encode()
+        assert tuple(t.stream(piece, 64)) == t.run(piece)
+    read = 0
+
+    class Piece(bytes):
+        def __getitem__(self, k):
+            nonlocal read
+            read = max(read, k.stop)
+            return bytes.__getitem__(self, k)
+
+    behind = [(read, at) for at, _ in enumerate(t.stream(Piece(b"several" * 5000)), 1)]
+    assert max(r - 7 * at for r, at in behind if r < 35_000) < 4 * 1024 and behind[0][0] <= 2048
+
+
+def test_round_trip_of_a_table(spark):
+    rows = [(1, "hello w\u00f6rld \U0001f642"), (2, None), (3, ""), (None, " x"), (4, "a" * 20_000)]
+    out = decode(encode(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(k, t or "") for k, t in rows], key=str)
+    assert decode(spark.createDataFrame([], "doc_id long, ids array<int>, text string")).count() == 0
