@@ -3,15 +3,17 @@
 The n-grams of words of all evaluation parts are hashed into a set that is broadcast while it is small enough (checked);
 every training text's windows of n words are held against it in one scan. A hit is verified word by word, so hash
 collisions cost time only. The evaluation set's size is measured first; beyond a bound it is cut into slices, and the
-training texts are scanned once for each slice, so no broadcast exceeds the bound.
+training texts are scanned once for each slice. One slice's index is alive at a time, so the driver and the executors
+hold no more than the bound.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,14 +97,27 @@ class _Zeros:
 _zeros = _Zeros()
 
 
-def slices(parts: DataFrame, most_bytes: int) -> list[list[tuple[int, str]]]:
-    """The parts in slices of a bounded size. Their whole size is measured first; normally there is one slice."""
+def sliced(parts: DataFrame, most_bytes: int) -> tuple[int, DataFrame]:
+    """Number of slices of a bounded size, and the parts with their slice. The whole size is measured first; normally there is one slice."""
     size = parts.agg(F.sum(F.length("part") * 4 + 64)).first()[0] or 0
     n = max(1, -(-size // most_bytes))
-    if n == 1:
-        return [[tuple(r) for r in parts.collect()]]
-    cut = parts.withColumn("slice", F.pmod(F.xxhash64("part"), F.lit(n)))
-    return [[tuple(r) for r in cut.where(F.col("slice") == k).drop("slice").toLocalIterator()] for k in range(n)]
+    return n, parts.withColumn("slice", F.pmod(F.xxhash64("part"), F.lit(n)))
+
+
+def over_slices(documents: DataFrame, items: DataFrame, n: int, most_bytes: int, scan: Callable[[Broadcast], DataFrame]) -> DataFrame:
+    """The union of scan(index) over the slices of items. One slice's index is alive at a time: with several, each result is written and the index released before the next is made."""
+    spark = documents.sparkSession
+    count, parts = sliced(item_parts(items), most_bytes)
+    out = None
+    for k in range(count):
+        rows = [(r["item_id"], r["part"]) for r in parts.where(F.col("slice") == k).select("item_id", "part").collect()]  # most_bytes at most
+        index = spark.sparkContext.broadcast(Index(rows, n))
+        found = scan(index)
+        if count > 1:
+            found = written(found, f"slice_{k}")
+            index.destroy()
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def leaks(documents: DataFrame, items: DataFrame, n: int = 12, most_bytes: int = MOST_EVAL_BYTES) -> DataFrame:
@@ -112,13 +127,10 @@ def leaks(documents: DataFrame, items: DataFrame, n: int = 12, most_bytes: int =
     Null, empty and short texts on either side give nothing; rows of the same doc_id and text give the same rows once;
     a null doc_id or item_id is left out. Other columns aren't read. One scan of documents for each slice of items, no shuffle of texts.
     """
-    spark = documents.sparkSession
     source = documents.select(F.col("doc_id").cast("long"), F.col("text")).where("doc_id is not null and text is not null")
-    out = None
-    for rows in slices(item_parts(items), most_bytes):
-        index = spark.sparkContext.broadcast(Index(rows, n))
 
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+    def scan(index: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ix = index.value
             for batch in batches:
                 docs, its, starts, ends = [], [], [], []
@@ -132,9 +144,9 @@ def leaks(documents: DataFrame, items: DataFrame, n: int = 12, most_bytes: int =
                             docs.append(doc), its.append(item), starts.append(a), ends.append(b)
                 yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(its, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=["doc_id", "item_id", "span_start", "span_end"])
 
-        found = source.mapInArrow(run, "doc_id long, item_id long, span_start int, span_end int")
-        out = found if out is None else out.unionByName(found)
-    return out.distinct()
+        return source.mapInArrow(run, "doc_id long, item_id long, span_start int, span_end int")
+
+    return over_slices(documents, items, n, most_bytes, scan).distinct()
 
 
 def stretches(starts: list[int], n: int) -> list[tuple[int, int]]:
@@ -153,43 +165,72 @@ def without_leaks(documents: DataFrame, items: DataFrame, n: int = 12, most_shar
     A document of which more than most_share of the words leaked is dropped as a whole (clean_text null, dropped true);
     so is one whose spans leave nothing. Texts without leaks come out unchanged, null stays null; every row comes out once.
     """
-    spark = documents.sparkSession
-    parts = slices(item_parts(items), most_bytes)
-    indexes = [spark.sparkContext.broadcast(Index(rows, n)) for rows in parts]
+    rows = documents.select(F.col("doc_id").cast("long"), F.col("text"))
+    if sliced(item_parts(items), most_bytes)[0] == 1:
+
+        def scan(index: Broadcast) -> DataFrame:
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    yield cleaned(batch.column(0), batch.column(1).to_pylist(), [[(s, s + n) for s, _ in index.value.hits(text)[1]] for text in batch.column(1).to_pylist()], most_share)
+
+            return rows.mapInArrow(run, CLEANED)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return over_slices(documents, items, n, most_bytes, scan)
+
+    # several slices: their spans are found one slice after another and meet the texts by a join
+    texts = rows.withColumn("key", F.xxhash64("text")).where("text is not null").select("key", "text").distinct()
+
+    def spans(index: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hits = [index.value.hits(text)[1] for text in batch.column(1).to_pylist()]
+                keys = pa.array(np.repeat(np.arange(len(hits)), [len(h) for h in hits]))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(keys), pa.array([s for h in hits for s, _ in h], pa.int32())], names=["key", "start"])
+
+        return texts.mapInArrow(run, "key long, start int")
+
+    found = over_slices(documents, items, n, most_bytes, spans).groupBy("key").agg(F.collect_set("start").alias("starts"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, removed, dropped = [], [], []
-            for text in batch.column(1).to_pylist():
-                gone = np.zeros(0, bool)
-                for index in indexes:
-                    found, hits = index.value.hits(text)
-                    if hits and not len(gone):
-                        gone = np.zeros(len(found), bool)
-                    for s, _ in hits:
-                        gone[s : s + n] = True
-                count = int(gone.sum())
-                if count:
-                    drop = count > most_share * len(gone)
-                    text = None if drop else cut_words(text, gone)
-                    drop |= not (text or "").strip()
-                else:
-                    drop = False
-                texts.append(None if drop else text), removed.append(count), dropped.append(drop)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(removed, pa.int32()), pa.array(dropped)], names=["doc_id", "clean_text", "removed_words", "dropped"])
-
-    return documents.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, clean_text string, removed_words int, dropped boolean")
-
-
-def cut_words(text: str, gone: np.ndarray) -> str:
-    """text without the marked words; lower-casing may change lengths, so positions are those of a lower-casing that keeps them."""
+            yield cleaned(batch.column(0), batch.column(1).to_pylist(), [[(s, s + n) for s in starts or []] for starts in batch.column(2).to_pylist()], most_share)
+
+    return rows.withColumn("key", F.xxhash64("text")).join(found, "key", "left").select("doc_id", "text", "starts").mapInArrow(cut, CLEANED)
+
+
+CLEANED = "doc_id long, clean_text string, removed_words int, dropped boolean"
+
+
+def cleaned(ids: pa.Array, texts: list[str | None], spans: list[list[tuple[int, int]]], most_share: float) -> pa.RecordBatch:
+    """Texts without the spans (of word positions), as rows of without_leaks."""
+    out, removed, dropped = [], [], []
+    for text, mine in zip(texts, spans):
+        drop, count = False, 0
+        if mine:
+            spots = word_spots(text)
+            gone = np.zeros(len(spots), bool)
+            for a, b in mine:
+                gone[a:b] = True
+            count = int(gone.sum())
+            drop = count > most_share * len(gone)
+            text = None if drop else cut_words(text, spots, gone)
+            drop |= not (text or "").strip()
+        out.append(None if drop else text), removed.append(count), dropped.append(drop)
+    return pa.RecordBatch.from_arrays([ids, pa.array(out, pa.string()), pa.array(removed, pa.int32()), pa.array(dropped)], names=["doc_id", "clean_text", "removed_words", "dropped"])
+
+
+def word_spots(text: str) -> list[tuple[int, int]]:
+    """Where the words of the lower-cased text stand in the text itself; a character may have several in lower case."""
     low = text.lower()
-    if len(low) != len(text):
-        low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
     spots = [m.span() for m in WORD.finditer(low)]
-    if len(spots) != len(gone):  # characters whose lower case has several parts lie between words
-        low, text = text.lower(), text.lower()
-        spots = [m.span() for m in WORD.finditer(low)]
+    if len(low) == len(text):
+        return spots
+    ends = np.cumsum([len(c.lower()) for c in text])
+    return [(int(np.searchsorted(ends, a, "right")), int(np.searchsorted(ends, b - 1, "right")) + 1) for a, b in spots]
+
+
+def cut_words(text: str, spots: list[tuple[int, int]], gone: np.ndarray) -> str:
+    """text without the runs of marked words; everything else stays as it is."""
     out, at, k = [], 0, 0
     while k < len(spots):
         if gone[k]:

@@ -1,3 +1,6 @@
+from pyspark import Broadcast
+
+from lectern.llm import leaks as module
 from lectern.llm.leaks import leaks, without_leaks
 
 W = [f"word{k}" for k in range(40)]
@@ -36,3 +39,26 @@ def test_removal(spark):
     got = {r.doc_id: (r.clean_text, r.removed_words, r.dropped) for r in without_leaks(d, items).collect()}
     assert got[1] == ("Keep this. ! And " + "much more " * 10, 12, False)
     assert got[2] == (None, 20, True) and got[3] == (None, 0, False) and got[4] == ("clean", 0, False)
+
+
+def test_removal_keeps_the_rest(spark):
+    """Characters that grow in lower case (U+0130) stay as they are, before, beside and behind what is cut."""
+    items = spark.createDataFrame([(1, PASSAGE, QUESTION, "t")], ITEMS)
+    before, after = "The Title Of \u0130stanbul Stays. ", " AND \u0130\u0130 Here, With Several More Words That Are Kept As They Are In \u0130zmir"
+    d = docs(spark, [(1, before + " ".join(W[:12]).upper() + after, "x"), (2, "\u0130 " + PASSAGE, "x")])
+    for most in (module.MOST_EVAL_BYTES, 300):
+        got = {r.doc_id: (r.clean_text, r.removed_words) for r in without_leaks(d, items, most_bytes=most).collect()}
+        assert got[1] == (before + after, 12) and got[2] == (None, 20)
+
+
+def test_one_slice_is_alive_at_a_time(spark, monkeypatch):
+    items = spark.createDataFrame([(k, " ".join(W[k : k + 20]), None, "t") for k in range(12)], ITEMS)
+    d = docs(spark, [(1, " ".join(W) + " and", "x"), (2, "nothing " * 20, "x"), (3, None, "x")])
+    made, gone, alive = [], [], []
+    init, destroy = module.Index.__init__, Broadcast.destroy
+    monkeypatch.setattr(module.Index, "__init__", lambda self, *a: (made.append(1), alive.append(len(made) - len(gone)), init(self, *a))[-1])
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: (gone.append(1), destroy(self, *a))[-1])
+    got = leaks(d, items, most_bytes=500)
+    assert len(made) >= 3 and set(alive) == {1} and len(gone) == len(made)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(1, k) for k in range(12)}
+    assert {tuple(r) for r in without_leaks(d, items, most_bytes=500).collect()} == {tuple(r) for r in without_leaks(d, items).collect()}
