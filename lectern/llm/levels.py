@@ -15,12 +15,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.llm.common import hashed_sample, table
 
 #: At most so many labelled documents are fitted on: those whose ids have the least hashes.
 MOST_LABELLED = 4_000
+#: Characters of their texts together: documents beyond it in the order of the hashes aren't fitted on.
+MOST_CHARS = 64_000_000
 LEVELS = 5
 TOKEN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|[.!?]+(?=\s|$)|[,;:]|\n")
 BUCKETS = 1 << 14
@@ -224,17 +227,20 @@ def consensus(labels: DataFrame) -> DataFrame:
     return votes.groupBy("doc_id").agg(F.array(*[F.sum((F.col("reading_level") == k).cast("int")) for k in range(1, LEVELS + 1)]).alias("votes"))
 
 
-def rated(documents: DataFrame, least_tokens: int) -> DataFrame:
+def rated(documents: DataFrame, least_tokens: int, *also: str) -> DataFrame:
     space = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
     tokens = F.size(F.filter(F.split("text", space, -1), lambda t: t != ""))
-    return documents.where("doc_id is not null and text is not null and lang = 'en'").where(tokens >= least_tokens).select("doc_id", "text")
+    return documents.where("doc_id is not null and text is not null and lang = 'en'").where(tokens >= least_tokens).select("doc_id", "text", *also)
 
 
-def fit(documents: DataFrame, labels: DataFrame, least_tokens: int = 40, most: int = MOST_LABELLED) -> Model:
-    """The models, fitted on at most `most` labelled documents (a bounded sample)."""
+def fit(documents: DataFrame, labels: DataFrame, least_tokens: int = 40, most: int = MOST_LABELLED, most_chars: int = MOST_CHARS) -> Model:
+    """The models, fitted on at most `most` labelled documents of at most most_chars characters together (a bounded sample of whole texts)."""
     votes = consensus(labels)
     sample = hashed_sample(votes, F.xxhash64("doc_id"), most, votes.count())
-    rows = rated(documents, least_tokens).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "votes").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    # the few labelled documents first: only their texts are counted through
+    mine = rated(documents.join(F.broadcast(sample), "doc_id"), least_tokens, "votes").dropDuplicates(["doc_id"])
+    so_far = F.sum(F.length("text").cast("long")).over(W.orderBy(F.xxhash64("doc_id"), "doc_id"))  # `most` rows
+    rows = mine.withColumn("chars", so_far).where(F.col("chars") <= most_chars).drop("chars").toPandas().sort_values("doc_id")
     if not len(rows):
         raise ValueError("no labelled document to fit on")
     votes = np.stack(rows["votes"].to_list()).astype(float)
