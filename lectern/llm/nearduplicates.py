@@ -2,10 +2,10 @@
 
 Meet-in-the-middle ball hashing over sets of word shingles. In each of several hash orders a record's fingerprint is its
 LEAST_OF least shingles. Two fingerprints within a radius of 2 * DROPPED elements (each side lacks up to DROPPED of the
-other's) meet in the middle: every fingerprint emits all variants with DROPPED elements left out, records are shuffled on
-the variants, and pairs that collide are made distinct and verified on their whole sets. Records with equal sets are one
-class. Variants with very many classes make no pairs; their classes go through an exact prefix filter with the rarest
-shingles first.
+other's) meet in the middle: every fingerprint emits all variants with DROPPED elements left out, fingerprints are shuffled
+on the variants, and pairs that collide are made distinct and verified on their whole sets. Records with equal sets are
+one class, which emits its variants once. Variants with very many classes make no pairs; their classes go through an
+exact prefix filter with the rarest shingles first.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import U64, WORD, gram_hashes, mix, signed, string_hashes, table, written
+from lectern.llm.common import U64, WORD, bloom, gram_hashes, mix, signed, string_hashes, table, written
 from lectern.llm.components import components
 
 SHINGLE, SIMILARITY, LEAST_WORDS = 3, 0.6, 20
@@ -136,10 +136,35 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
     return pairs.join(left, "set_a").join(right, "set_b").select("set_a", "set_b", "content_a", "content_b").mapInArrow(run, "set_a long, set_b long, similarity double")
 
 
-def array_pairs(groups: DataFrame) -> DataFrame:
-    """Pairs within bounded arrays `members` of set keys."""
-    each = groups.select(F.explode("members").alias("set_a"), "members").select("set_a", F.explode("members").alias("set_b"))
-    return each.where("set_a < set_b")
+def variants_met(classes: DataFrame, most_classes: int) -> tuple[DataFrame, DataFrame]:
+    """pairs (set_a, set_b) of classes that share a variant, and hot (set_key): the classes of variants with more than most_classes of them.
+
+    classes: (set_key, variants). Variants are counted with what each task can sum up first. Most stand in one class and
+    go no further, and a variant of two classes is a pair by itself; only what passes the filter of the others is shuffled again.
+    """
+    each = classes.select("set_key", F.explode("variants").alias("variant"))
+    met = each.groupBy("variant").agg(F.count("*").alias("n"), F.min("set_key").alias("a"), F.max("set_key").alias("b")).where("n > 1")
+    met = written(met, "met_variants")
+    pairs = met.where("n = 2 and a < b").select(F.col("a").alias("set_a"), F.col("b").alias("set_b"))
+    more = met.where("n > 2").select("variant", "n")
+    many = more.count()
+    if not many:
+        return pairs.distinct(), classes.select("set_key").limit(0)
+    filtered = classes.sparkSession.sparkContext.broadcast(bloom(more.select("variant"), many))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            variant = lists.flatten().to_numpy()
+            keep = filtered.value.holds(variant)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[keep])), pa.array(variant[keep])], names=["set_key", "variant"])
+
+    together = classes.select("set_key", "variants").mapInArrow(run, "set_key long, variant long").join(more, "variant")
+    together = written(together, "variant_classes")
+    groups = together.where(F.col("n") <= most_classes).groupBy("variant").agg(F.collect_set("set_key").alias("members"))
+    within = groups.select(F.explode("members").alias("set_a"), "members").select("set_a", F.explode("members").alias("set_b")).where("set_a < set_b")
+    return pairs.unionByName(within).distinct(), together.where(F.col("n") > most_classes).select("set_key").distinct()
 
 
 def prefix_pairs(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -170,24 +195,32 @@ def near_classes(chunks: DataFrame, shingle: int = SHINGLE, similarity: float =
     """members (chunk_id, document_id, set_key, n) and links (set_a, set_b, similarity) between classes of equal sets."""
     sets = written(fingerprints(chunks, shingle, least_words), "fingerprints")
     members = sets.select("chunk_id", "document_id", "set_key", "n").distinct()
-    rows = sets.select("set_key", F.explode("variants").alias("variant"))
-    met = rows.groupBy("variant").agg(F.count("*").alias("rows"), F.min("set_key").alias("a"), F.max("set_key").alias("b")).where("a <> b").select("variant", "rows")
-    # rows of equal sets count too: where many rows turn out to be few classes, the prefix filter is merely used early
-    together = rows.join(met, "variant")
-    groups = together.where(F.col("rows") <= most_classes).groupBy("variant").agg(F.collect_set("set_key").alias("members"))
-    pairs = array_pairs(groups).distinct()
-    hot = written(together.where(F.col("rows") > most_classes).select("set_key").distinct(), "hot_classes")
-    pairs = written(pairs, "pairs")
-    heads = members.groupBy("set_key").agg(F.min("chunk_id").alias("chunk_id"))
+    # copies count once from here on: a class has the variants that each of its members has
+    classes = written(sets.groupBy("set_key").agg(F.min("chunk_id").alias("chunk_id"), F.first("variants").alias("variants")), "classes")
+    pairs, hot = variants_met(classes, most_classes)
+    pairs, hot = written(pairs, "pairs"), written(hot, "hot_classes")
+    heads = classes.select("set_key", "chunk_id")
     content = chunks.select("chunk_id", "content").where("chunk_id is not null and content is not null")
     if hot.limit(1).count():
-        texts = hot.join(heads, "set_key").join(content, "chunk_id").dropDuplicates(["set_key"]).select("set_key", "content")
-        pairs = written(pairs.unionByName(prefix_pairs(texts, shingle, similarity)).distinct(), "pairs")
+        pairs = written(pairs.unionByName(prefix_pairs(class_texts(hot, heads, content, shingle, least_words), shingle, similarity)).distinct(), "pairs")
     wanted = pairs.select(F.col("set_a").alias("set_key")).union(pairs.select("set_b")).distinct()
-    texts = written(wanted.join(heads, "set_key").join(content, "chunk_id").dropDuplicates(["set_key"]).select("set_key", "content"), "class_texts")
+    texts = written(class_texts(wanted, heads, content, shingle, least_words), "class_texts")
     return members, written(verified(pairs, texts, shingle, similarity), "links")
 
 
+def class_texts(wanted: DataFrame, heads: DataFrame, content: DataFrame, shingle: int, least_words: int) -> DataFrame:
+    """(set_key, content) of the wanted classes: a text of the head that has the class's set, should its rows differ."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s = Sets(batch.column(1).to_pylist(), shingle, least_words)
+            same = s.rows[signed(s.set_keys()) == batch.column(0).to_numpy()[s.rows]] if len(s.rows) else s.rows
+            yield batch.take(pa.array(same, pa.int64()))
+
+    found = wanted.join(heads, "set_key").join(content, "chunk_id").select("set_key", "content")
+    return found.mapInArrow(run, "set_key long, content string").dropDuplicates(["set_key"])
+
+
 def with_paths(members: DataFrame, documents: DataFrame) -> DataFrame:
     paths = documents.select("document_id", "file_path").where("document_id is not null and file_path is not null").groupBy("document_id").agg(F.min("file_path").alias("file_path"))
     return members.join(paths, "document_id").select("chunk_id", "set_key", "file_path").distinct()

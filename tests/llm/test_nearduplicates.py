@@ -52,6 +52,37 @@ def test_prefix_filter_finds_every_pair(spark):
     assert near <= found
 
 
+def test_copies_emit_variants_once(spark, monkeypatch):
+    """3,000 copies of one text and 300 other texts are 301 classes, with 40 variants each, and no class is hot."""
+    rng = random.Random(3)
+    text = lambda: " ".join(f"w{rng.randrange(9000)}" for _ in range(60))
+    one = text()
+    rows = [(f"c{k:04}", f"d{k}", one, "x", "x") for k in range(3000)] + [(f"o{k:03}", f"e{k}", text(), "x", "x") for k in range(300)]
+    seen, real = [], N.variants_met
+
+    def counted(classes, most):
+        seen.append(classes.selectExpr("sum(size(variants))", "count(*)").first())
+        pairs, hot = real(classes, most)
+        seen.append(hot.count())
+        return pairs, hot
+
+    monkeypatch.setattr(N, "variants_met", counted)
+    members, links = N.near_classes(spark.createDataFrame(rows, CHUNKS))
+    assert tuple(seen[0]) == (12_040, 301) and seen[1] == 0
+    assert members.count() == 3300 and links.count() == 0
+
+
+def test_rows_of_a_head_that_differ(spark):
+    """Where rows of one chunk_id hold different texts, each set meets its own partners."""
+    rng = random.Random(5)
+    a, b = ([f"w{rng.randrange(9000)}" for _ in range(60)] for _ in range(2))
+    near = lambda w: " ".join(["other", *w[1:]])
+    rows = [("a", "d1", " ".join(a), "x", "x"), ("a", "d1", " ".join(b), "x", "x"), ("b", "d2", near(a), "x", "x"), ("c", "d3", near(b), "x", "x")]
+    docs = [(f"d{k}", f"f{k}", "x") for k in range(5)]
+    got = {(r.chunk_id_a, r.chunk_id_b) for r in N.near_pairs(spark.createDataFrame(rows, CHUNKS), spark.createDataFrame(docs, DOCS)).collect()}
+    assert got == {("a", "b"), ("a", "c")}
+
+
 def test_groups_and_empty(spark):
     rows, docs = made()
     d = spark.createDataFrame(docs, DOCS)
