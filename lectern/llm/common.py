@@ -159,6 +159,19 @@ def bloom(keys: DataFrame, n: int) -> Bloom:
     return Bloom(out)
 
 
+def passing(rows: DataFrame, key: F.Column, keys: DataFrame) -> DataFrame:
+    """The rows whose key is among keys (one long column), and few others: what a join with keys would drop isn't shuffled for it."""
+    filtered = rows.sparkSession.sparkContext.broadcast(bloom(keys, keys.count()))
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = filtered.value.holds(batch.column(len(names)).to_numpy())
+            yield batch.select(names).filter(pa.array(keep))
+
+    return rows.withColumn("_key", key).mapInArrow(run, rows.schema)
+
+
 def words(column) -> F.Column:
     """The words of a string column, on the JVM side."""
     return F.regexp_extract_all(F.lower(column), F.lit("[a-z0-9]+"), F.lit(0))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import U64, WORD, bloom, gram_hashes, mix, signed, string_hashes, table, written
+from lectern.llm.common import U64, WORD, bloom, gram_hashes, mix, passing, signed, string_hashes, table, written
 from lectern.llm.components import components
 
 SHINGLE, SIMILARITY, LEAST_WORDS = 3, 0.6, 20
@@ -217,7 +217,9 @@ def class_texts(wanted: DataFrame, heads: DataFrame, content: DataFrame, shingle
             same = s.rows[signed(s.set_keys()) == batch.column(0).to_numpy()[s.rows]] if len(s.rows) else s.rows
             yield batch.take(pa.array(same, pa.int64()))
 
-    found = wanted.join(heads, "set_key").join(content, "chunk_id").select("set_key", "content")
+    named = written(wanted.join(heads, "set_key").select("set_key", "chunk_id"), "wanted_heads")
+    texts = passing(content, F.xxhash64("chunk_id"), named.select(F.xxhash64("chunk_id").alias("key")))
+    found = named.join(texts, "chunk_id").select("set_key", "content")
     return found.mapInArrow(run, "set_key long, content string").dropDuplicates(["set_key"])
 
 
