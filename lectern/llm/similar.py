@@ -1,11 +1,11 @@
 """Problem 5: the most similar vectors of every vector.
 
-An inverted file of coarse centroids; the residuals in each list are product-quantised. A list's vectors are queries and
-base at once: asymmetric distance tables screen the list with a slack measured on the sample, what passes is reranked
-with exact cosines in double precision. A vector belongs to its nearest lists within a margin, so that most neighbours on
-either side of a border meet. The k-th cosine found so is a bound for each vector: blocks of lists are then held against
-blocks wherever the triangle inequality of angles leaves room for a better neighbour, which makes the result exact. Equal
-vectors are one class; of a class its least chunk_ids stand for all of them.
+An inverted file: every vector has one list, that of its nearest coarse centroid, and its residual there is kept as a
+product-quantised code. Every vector is a query too and probes the lists whose centroids it is nearly as near to as to
+its own; how nearly is measured on the sample, and no number of lists is fixed. A probed list is screened by asymmetric
+distance tables, which need its codes only; what passes is reranked with exact cosines in double precision. Lists that lie
+near each other form blocks, so that a query travels once for each block it probes. Equal vectors are one class; of a
+class its least chunk_ids stand for all of them.
 """
 
 from __future__ import annotations
@@ -18,18 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.llm.common import table, written
-from lectern.llm.vectors import DIMENSION, Lists, fit_sample, groups_of, kmeans, listed, matrix, n_lists, one_vector, unit, usable, without_hot
+from lectern.llm.common import partitions, table, written
+from lectern.llm.vectors import DIMENSION, MOST_FITTED, fit_sample, kmeans, kmeans_tree, matrix, one_vector, unit, usable
 
-PER_LIST, MARGIN, MOST_MEMBERSHIPS = 400, 0.12, 5
-#: Lists with more members are split.
-HOT_LIST = 8_192
+PER_LIST, MOST_LISTS = 400, 16_384
+#: Vectors of the sample for each list, vectors in a block of lists as the sample lets expect, and queries that one task answers from a block.
+SAMPLED, BLOCK, MOST_ASKED = 16, 8_192, 65_536
 PARTS, CODES = 16, 256
-#: Blocks of the exact pass: so many at least, of so many vectors at most. Tiles of products there.
-LEAST_BLOCKS, BLOCK = 4, 131_072
-TILE_ROWS, TILE_COLUMNS = 512, 4_096
-#: Above the error of single precision: of angles near 0, of products of unit vectors.
-ANGLE_ERROR, PRODUCT_ERROR = 2e-3, 1e-5
+#: Bytes of rows that one task shall read.
+TASK_BYTES = 8 << 20
+#: Share of neighbours in the sample, and of made-up neighbours just similar enough, whose lists the margin must reach; a pair can be met from either side.
+REACHED, REACHED_MADE, ASKED = 0.9995, 0.8, 2_048
 
 
 class Codes:
@@ -46,220 +45,243 @@ class Codes:
             out[:, p] = (part @ book.T - 0.5 * (book * book).sum(1)).argmax(1)
         return out
 
-    def tables(self, queries: np.ndarray) -> np.ndarray:
-        """Of each query its products with all codewords: (queries, PARTS, CODES)."""
-        return np.stack([queries[:, p * self.width : (p + 1) * self.width] @ book.T for p, book in enumerate(self.books)], 1)
-
     def decode(self, codes: np.ndarray) -> np.ndarray:
         return np.concatenate([book[codes[:, p]] for p, book in enumerate(self.books)], 1)
 
+    def products(self, queries: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """(codes, queries): each query's product with each coded residual, summed from the query's tables of products with all codewords."""
+        total, part = np.zeros((len(codes), len(queries)), np.float32), np.empty((len(codes), len(queries)), np.float32)
+        for p, book in enumerate(self.books):
+            tables = book @ queries[:, p * self.width : (p + 1) * self.width].T
+            np.take(tables, codes[:, p], axis=0, out=part, mode="clip")
+            total += part
+        return total
+
 
 class Index:
-    """Lists, residual codes, and the slack that covers their error for all but one in a thousand pairs of the sample."""
+    """Centroids, residual codes, the margin of what is probed, the slack of the codes, and the block of each list."""
 
-    def __init__(self, sample: np.ndarray, lists: int) -> None:
-        self.lists = Lists(sample, lists, MARGIN, MOST_MEMBERSHIPS)
+    def __init__(self, sample: np.ndarray, rows: int, k: int, least: float) -> None:
         x = unit(sample).astype(np.float32)
-        near = (x @ self.lists.centroids.T).argmax(1)
-        residual = x - self.lists.centroids[near]
+        self.centroids = kmeans_tree(x, n_lists(rows))
+        near, own = nearest(x, self.centroids)
+        some = x[: 1 << 15]
+        residual = some - self.centroids[near[: len(some)]]
         self.codes = Codes(residual)
         error = residual - self.codes.decode(self.codes.encode(residual))
         # the error of a product is that of the base vector seen along the query: queries are other vectors of the sample
-        other = x[np.random.default_rng(3).permutation(len(x))]
-        own, cross = (error * x).sum(1), (error * other).sum(1)
-        self.slack = float(np.quantile(np.abs(np.concatenate([own, cross])), 0.999)) if len(x) else 0.0
-
-    def search(self, raw: np.ndarray, centroid: np.ndarray, names: np.ndarray, k: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(query, base, cosine) of the up to k best in a list; ties by name."""
+        other = some[np.random.default_rng(3).permutation(len(some))]
+        self.slack = float(np.quantile(np.abs(np.concatenate([(error * some).sum(1), (error * other).sum(1)])), 0.999))
+        self.margin = self.measured(x, near, own, k, least)
+        self.block = blocks_of(self.centroids, np.bincount(near, minlength=len(self.centroids)) * (rows / len(x)))
+
+    def measured(self, x: np.ndarray, near: np.ndarray, own: np.ndarray, k: int, least: float) -> float:
+        """How much less similar than its own centroid a query's neighbours' centroids are.
+
+        Neighbours within the sample are further off than those among all vectors, so this reaches too far rather than
+        too little. Where the sample holds few of them, made-up ones as far off as any that count speak for them.
+        """
+        rng = np.random.default_rng(5)
+        asked = rng.permutation(len(x))[:ASKED]
+        q = x[asked]
+        s = q @ x.T
+        s[np.arange(len(q)), asked] = -2
+        top = np.argpartition(-s, min(k, len(x) - 1), axis=1)[:, :k]
+        row, col = np.nonzero(np.take_along_axis(s, top, 1) >= least)
+        gap = own[asked[row]] - (q[row] * self.centroids[near[top[row, col]]]).sum(1)
+        across = rng.standard_normal(q.shape).astype(np.float32)
+        across -= (across * q).sum(1, keepdims=True) * q
+        made = least * q + np.sqrt(1 - least**2) * across / np.maximum(np.linalg.norm(across, axis=1, keepdims=True), 1e-12)
+        made_gap = own[asked] - (q * self.centroids[nearest(made, self.centroids)[0]]).sum(1)
+        return max(0.0, *(float(np.quantile(g, share)) for g, share in ((gap, REACHED), (made_gap, REACHED_MADE)) if len(g))) + 1e-4
+
+    def placed(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(list, similarity to its centroid, codes) of each vector, and the (vector, block) that it probes as two rows."""
+        x = unit(raw).astype(np.float32)
+        s = x @ self.centroids.T
+        near = s.argmax(1)
+        best = s[np.arange(len(x)), near]
+        row, which = np.nonzero(s >= best[:, None] - self.margin)
+        visits = np.unique(row * (int(self.block.max()) + 1) + self.block[which])
+        return near, best, self.codes.encode(x - self.centroids[near]), np.stack(np.divmod(visits, int(self.block.max()) + 1))
+
+
+def n_lists(rows: int) -> int:
+    return int(min(MOST_LISTS, max(1, rows // PER_LIST)))
+
+
+def nearest(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    near, own = np.empty(len(x), np.int64), np.empty(len(x), np.float32)
+    for at in range(0, len(x), 2048):
+        s = x[at : at + 2048] @ centroids.T
+        near[at : at + 2048] = s.argmax(1)
+        own[at : at + 2048] = s.max(1)
+    return near, own
+
+
+def blocks_of(centroids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The block of each list: lists in a chain of near ones, cut where BLOCK vectors are expected."""
+    order, left = [0], np.ones(len(centroids), bool)
+    left[0] = False
+    while left.any():
+        order.append(int(np.where(left, centroids @ centroids[order[-1]], -2).argmax()))
+        left[order[-1]] = False
+    block = np.empty(len(centroids), np.int64)
+    at = filled = 0
+    for k in order:
+        if filled and filled + sizes[k] > BLOCK:
+            at, filled = at + 1, 0
+        block[k] = at
+        filled += sizes[k]
+    return block
+
+
+class Base:
+    """The vectors of a block, by list: what its queries are answered from."""
+
+    def __init__(self, index: Index, rows: pa.Table) -> None:
+        self.index = index
+        lists = rows.column("list").to_numpy()
+        order = np.argsort(lists, kind="stable")
+        rows = rows.take(pa.array(order))
+        self.exact = unit(matrix(rows.column("vec")))
+        self.codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint8).reshape(-1, PARTS)
+        self.key, self.name = rows.column("vec_key").to_numpy(), rows.column("chunk_id").combine_chunks()
+        names = np.array(self.name.to_pylist())
+        self.rank = np.argsort(np.argsort(names, kind="stable"), kind="stable")
+        self.lists, self.first = np.unique(lists[order], return_index=True)
+        self.end = np.append(self.first[1:], len(order))
+
+    def near(self, raw: np.ndarray, own: np.ndarray, keys: np.ndarray, k: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(query, base row, cosine) of the up to k best of each list a query probes; own: its similarity to its own centroid."""
+        ix = self.index
         exact = unit(raw)
         x = exact.astype(np.float32)
-        codes = self.codes.encode(x - centroid)
-        # a query's table entries summed over a code equal its product with the decoded residual: one matrix product for all
-        base = centroid + self.codes.decode(codes)
-        rank = np.argsort(np.argsort(names, kind="stable"), kind="stable")
-        for at in range(0, len(x), 512):
-            approx = x[at : at + 512] @ base.T
-            approx[np.arange(len(approx)), at + np.arange(len(approx))] = -2
-            q, b = np.nonzero(approx >= least - self.slack)
-            if not len(q):
-                continue
+        s = x @ ix.centroids[self.lists].T
+        probes = s >= own[:, None] - ix.margin - 1e-6
+        for j in np.flatnonzero(probes.any(0)).tolist():
+            ask, lo, hi = np.flatnonzero(probes[:, j]), self.first[j], self.end[j]
+            close = ix.codes.products(x[ask], self.codes[lo:hi]) + s[ask, j]
+            least_close = np.full(len(ask), least - ix.slack, np.float32)
+            if hi - lo > k and np.count_nonzero(close >= least_close) > 4 * k * len(ask):
+                # many are similar enough: one that may be among the k best is no further off than the k-th by twice the slack
+                least_close = np.maximum(least_close, np.partition(close, hi - lo - k - 1, axis=0)[hi - lo - k - 1] - 2 * ix.slack)
+            b, q = np.nonzero(close >= least_close)
+            b, q = b + lo, ask[q]
+            other = self.key[b] != keys[q]
+            b, q = b[other], q[other]
             cosine = np.empty(len(q))
-            for lo in range(0, len(q), 1 << 16):
-                cosine[lo : lo + (1 << 16)] = np.einsum("ij,ij->i", exact[at + q[lo : lo + (1 << 16)]], exact[b[lo : lo + (1 << 16)]])
+            for at in range(0, len(q), 1 << 16):
+                cosine[at : at + (1 << 16)] = np.einsum("ij,ij->i", exact[q[at : at + (1 << 16)]], self.exact[b[at : at + (1 << 16)]])
             ok = cosine >= least - 1e-12
-            q, b, cosine = q[ok], b[ok], np.round(cosine[ok], 6)
-            order = np.lexsort((rank[b], -cosine, q))
-            q, b, cosine = q[order], b[order], cosine[order]
-            start = np.searchsorted(q, q)
-            top = np.arange(len(q)) - start < k
-            yield at + q[top], b[top], cosine[top]
+            b, q, cosine = b[ok], q[ok], np.round(cosine[ok], 6)
+            order = np.lexsort((self.rank[b], -cosine, q))
+            b, q, cosine = b[order], q[order], cosine[order]
+            top = np.arange(len(q)) - np.searchsorted(q, q) < k
+            if top.any():
+                yield q[top], b[top], cosine[top]
 
 
-def class_neighbours(chunks: DataFrame, k: int, least: float, fitted: np.ndarray | None = None) -> tuple[DataFrame, DataFrame]:
+def class_neighbours(chunks: DataFrame, k: int, least: float) -> tuple[DataFrame, DataFrame]:
     """members (chunk_id, vec_key) and neighbours (vec_key, other_key, other_id, cosine): of each class of equal vectors its k most similar classes."""
     spark = chunks.sparkSession
     rows = usable(chunks)
     members = written(one_vector(rows.select("chunk_id", "modality", "vec_key")).select("chunk_id", "vec_key"), "members")
-    classes = rows.groupBy("vec_key").agg(F.min("chunk_id").alias("chunk_id"), F.first("vec").alias("vec"))
-    n = members.count()
-    sample = fit_sample(rows, n)
+    classes = written(rows.groupBy("vec_key").agg(F.min("chunk_id").alias("chunk_id"), F.first("vec").alias("vec")), "classes")
+    n = classes.count()
+    sample = fit_sample(classes, n, max(MOST_FITTED, SAMPLED * n_lists(n)))
     if not len(sample):
         return members, spark.createDataFrame([], "vec_key long, other_key long, other_id string, cosine double")
-    index = Index(sample, n_lists(n, PER_LIST))
-    shared = spark.sparkContext.broadcast(index)
-    lists = without_hot(written(listed(classes, index.lists, ["vec_key", "chunk_id"]), "lists"), ["vec_key", "chunk_id"], HOT_LIST)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = shared.value
-        for t in groups_of(batches, ["list", "sub"]):
-            if t.num_rows < 2:
-                continue
-            names, key, alone = np.array(t.column("chunk_id").to_pylist()), t.column("vec_key").to_numpy(), t.column("lists").to_numpy() == 1
-            for q, b, cosine in ix.search(matrix(t.column("vec")), ix.lists.centroids[t.column("list")[0].as_py()], names, k, least):
-                yield pa.RecordBatch.from_arrays([pa.array(key[q]), pa.array(key[b]), t.column("chunk_id").combine_chunks().take(pa.array(b)), pa.array(cosine), pa.array(alone[q])], names=["vec_key", "other_key", "other_id", "cosine", "alone"])
-
-    found = lists.repartition("list", "sub").sortWithinPartitions("list", "sub").mapInArrow(run, "vec_key long, other_key long, other_id string, cosine double, alone boolean")
-    found = written(found, "neighbours")
-    best = W.partitionBy("vec_key").orderBy(F.desc("cosine"), "other_id")
-    several = found.where("not alone").drop("alone").distinct().withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).drop("r")
-    first = written(found.where("alone").drop("alone").unionByName(several), "first_neighbours")
-    more = written(missed(classes, first, index.lists.centroids, k, least), "more_neighbours")
-    both = first.unionByName(more).dropDuplicates(["vec_key", "other_key"])
-    return members, both.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).drop("r")
-
+    shared = spark.sparkContext.broadcast(Index(sample, n, k, least))  # MOST_LISTS centroids at most
 
-def angles(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(x @ y.T, -1, 1))
-
-
-def blocks_of(centroids: np.ndarray, sizes: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first block, number of blocks) of each list: near lists share blocks of about `rows` vectors, a list of more has several."""
-    order, left = [0], np.ones(len(centroids), bool)
-    left[0] = False
-    while left.any():
-        order.append(int(np.where(left, centroids @ centroids[order[-1]], -2).argmax()))
-        left[order[-1]] = False
-    first, parts = np.zeros(len(sizes), np.int64), np.ones(len(sizes), np.int64)
-    at = filled = 0
-    for k in order:
-        if filled and filled + sizes[k] > rows:
-            at, filled = at + 1, 0
-        first[k], parts[k] = at, max(1, -(-sizes[k] // rows))
-        at, filled = at + parts[k] - 1, filled + sizes[k] if parts[k] == 1 else rows
-    return first, parts
-
-
-def missed(classes: DataFrame, near: DataFrame, centroids: np.ndarray, k: int, least: float) -> DataFrame:
-    """(vec_key, other_key, other_id, cosine): every neighbour as good as the k-th of `near`, or with `least` where there are fewer; exact.
-
-    A vector has one home list here. It meets a block of lists if one of them may hold a vector within the angle that
-    it, or a vector of that list, still looks for. Pairs of blocks are tasks, so both directions come from one product.
-    """
-    spark = classes.sparkSession
-    centroids = centroids / np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-12)
-    centres = spark.sparkContext.broadcast(centroids)  # MOST_LISTS at most
-
-    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                a = angles(unit(matrix(part.column("vec"))).astype(np.float32), centres.value)
-                which = a.argmin(1)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(which.astype(np.int32)), pa.array(a[np.arange(len(a)), which].astype(np.float64))], names=[*part.schema.names, "list", "away"])
-
-    kth = near.groupBy("vec_key").agg(F.count("*").alias("n"), F.min("cosine").alias("bound")).where(F.col("n") >= k).select("vec_key", "bound")
-    # a cosine is rounded to 6 decimals: equal ones count, since ties go by name
-    wanted = F.greatest(F.lit(float(least)) - 1e-12, F.coalesce(F.col("bound") - 1.1e-6, F.lit(-1.0))).alias("bound")
-    rows = classes.join(kth, "vec_key", "left").select("vec_key", "chunk_id", "vec", wanted)
-    rows = written(rows.mapInArrow(home, "vec_key long, chunk_id string, vec binary, bound double, list int, away double"), "homes")
-    of = rows.groupBy("list").agg(F.count("*").alias("n"), F.max("away").alias("away"), F.min("bound").alias("bound")).toArrow()  # MOST_LISTS rows at most
-    there = of.column("list").to_numpy()
-    sizes, radius, reach = np.zeros(len(centroids), np.int64), np.full(len(centroids), -10.0), np.zeros(len(centroids))
-    sizes[there], radius[there], reach[there] = of.column("n").to_numpy(), of.column("away").to_numpy(), np.arccos(np.clip(of.column("bound").to_numpy(), -1, 1))
-    n_rows = int(min(BLOCK, max(1, -(-sizes.sum() // LEAST_BLOCKS))))
-    first, parts = blocks_of(centroids, sizes, n_rows)
-    n_blocks = int((first + parts).max())
-    shared = spark.sparkContext.broadcast((first, parts, radius, reach))
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, parts, radius, reach = shared.value
+                near, best, codes, (row, block) = shared.value.placed(matrix(part.column("vec")))
+                ends = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
+                visits = pa.ListArray.from_arrays(pa.array(ends), pa.array(block.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(near.astype(np.int32)), pa.array(best), pa.array([c.tobytes() for c in codes], pa.binary()), visits], names=[*part.schema.names, "list", "own", "code", "visits"])
+
+    placed = written(classes.mapInArrow(place, "vec_key long, chunk_id string, vec binary, list int, own float, code binary, visits array<int>"), "placed")
+    asked = dict(placed.select(F.explode("visits").alias("block")).groupBy("block").count().collect())  # a row for each block, MOST_LISTS at most
+    found = answered(placed, shared, asked, k, least)
+    # a pair that one of the two has met counts for the other
+    back = found.select(F.col("other_key").alias("vec_key"), F.col("vec_key").alias("other_key"), F.col("vec_id").alias("other_id"), "cosine")
+    best = W.partitionBy("vec_key").orderBy(F.desc("cosine"), "other_id", "other_key")
+    # pairs met from both sides share a rank, so they can go after the shuffle that ranks them
+    found = found.drop("vec_id").unionByName(back).withColumn("r", F.dense_rank().over(best)).where(F.col("r") <= k)
+    return members, found.dropDuplicates(["vec_key", "other_key"]).drop("r")
+
+
+def answered(placed: DataFrame, shared, asked: dict[int, int], k: int, least: float) -> DataFrame:
+    """(vec_key, vec_id, other_key, other_id, cosine): the best of each list that a vector probes. A block that many ask is copied, and its queries are shared out among the copies."""
+    copies = placed.sparkSession.sparkContext.broadcast({b: -(-n // MOST_ASKED) for b, n in asked.items()})
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        home, many = shared.value.block, copies.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                a = angles(unit(matrix(part.column("vec"))).astype(np.float32), centres.value)
-                own = np.arccos(np.clip(part.column("bound").to_numpy(), -1, 1))
-                may = a <= radius + np.maximum(own[:, None], reach) + ANGLE_ERROR
-                which = part.column("list").to_numpy()
-                mine = first[which] + part.column("vec_key").to_numpy() % parts[which]
-                meets = np.zeros((len(a), n_blocks), bool)
-                for j in range(n_blocks):
-                    meets[:, j] = may[:, (first <= j) & (j < first + parts)].any(1)
-                row, j = np.nonzero(meets)
-                i = mine[row]
-                take = pa.array(row)
-                pair = np.minimum(i, j) * n_blocks + np.maximum(i, j)
-                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(i), *(part.column(c).take(take) for c in ("list", "vec_key", "chunk_id", "vec", "bound"))], names=["pair", "block", "list", "vec_key", "chunk_id", "vec", "bound"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, _, radius, reach = shared.value
-        for t in groups_of(batches, ["pair"]):
-            block, same = t.column("block").to_numpy(), divmod(t.column("pair")[0].as_py(), n_blocks)
-            x = unit(matrix(t.column("vec")))
-            cut = int(np.searchsorted(block, same[0], "right"))
-            lo, hi = (0, len(x)) if same[0] == same[1] else (cut, len(x))
-            tiled = Tiles(x, t.column("list").to_numpy(), t.column("bound").to_numpy(), centres.value, radius, reach)
-            key, name = t.column("vec_key").to_numpy(), t.column("chunk_id").combine_chunks()
-            for a, b, cosine in tiled.near((0, cut if lo else len(x)), (lo, hi)):
-                yield pa.RecordBatch.from_arrays([pa.array(key[a]), pa.array(key[b]), name.take(pa.array(b)), pa.array(cosine)], names=["vec_key", "other_key", "other_id", "cosine"])
-
-    met = rows.mapInArrow(pairs, "pair long, block long, list int, vec_key long, chunk_id string, vec binary, bound double")
-    met = met.repartitionByRange(n_blocks * (n_blocks + 1) // 2, "pair").sortWithinPartitions("pair", "block", "list")
-    return met.mapInArrow(compare, "vec_key long, other_key long, other_id string, cosine double")
-
-
-class Tiles:
-    """Vectors x (unit, double) of two blocks, sorted by block and list, with what each looks for."""
-
-    def __init__(self, x: np.ndarray, lists: np.ndarray, bound: np.ndarray, centroids: np.ndarray, radius: np.ndarray, reach: np.ndarray) -> None:
-        self.x, self.single, self.lists, self.bound, self.centroids, self.radius, self.reach = x, x.astype(np.float32), lists, bound, centroids, radius, reach
-
-    def near(self, left: tuple[int, int], right: tuple[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(row, other row, cosine), both directions, of the pairs of left and right that one of the two looks for."""
-        columns = np.arange(*right)
-        for at in range(*left, TILE_ROWS):
-            a = np.arange(at, min(at + TILE_ROWS, left[1]))
-            own = np.arccos(np.clip(self.bound[a], -1, 1))
-            may = (angles(self.single[a], self.centroids) <= self.radius + np.maximum(own[:, None], self.reach) + ANGLE_ERROR).any(0)
-            others = columns[may[self.lists[columns]]]
-            if left == right:
-                others = others[others > at]
-            kept = []
-            for lo in range(0, len(others), TILE_COLUMNS):
-                b = others[lo : lo + TILE_COLUMNS]
-                s = self.single[a] @ self.single[b].T
-                hit = np.flatnonzero((s >= np.float32(min(self.bound[a].min(), self.bound[b].min()) - PRODUCT_ERROR)).ravel())
-                if not len(hit):
+            key, mine, visits = batch.column("vec_key").to_numpy(), home[batch.column("list").to_numpy()], batch.column("visits").to_pylist()
+            row, block, copy, role, asks = [], [], [], [], []
+            for i, (b, at) in enumerate(zip(mine.tolist(), visits)):
+                for v in at:
+                    own = int(key[i] % many[v])
+                    for c in range(many[v]) if v == b else (own,):  # as one of the block's vectors it is in each copy
+                        row.append(i), block.append(v), copy.append(c), role.append(int(v != b)), asks.append(c == own)
+            columns = [batch.column(c).take(pa.array(row, pa.int64())) for c in ("vec_key", "chunk_id", "vec", "list", "own", "code")]
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int32()) for x in (block, copy, role)), pa.array(asks, pa.bool_()), *columns], names=["block", "copy", "role", "asks", "vec_key", "chunk_id", "vec", "list", "own", "code"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, kept, base = None, [], None
+
+        def ask(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            keys = t.column("vec_key").to_numpy()
+            for q, b, cosine in base.near(matrix(t.column("vec")), t.column("own").to_numpy(), keys, k, least):
+                yield pa.RecordBatch.from_arrays([pa.array(keys[q]), t.column("chunk_id").combine_chunks().take(pa.array(q)), pa.array(base.key[b]), base.name.take(pa.array(b)), pa.array(cosine)], names=["vec_key", "vec_id", "other_key", "other_id", "cosine"])
+
+        def settled() -> Iterator[pa.RecordBatch]:
+            """The block's own vectors are all there: they become the base and ask first."""
+            nonlocal base, kept
+            rows = pa.concat_tables(kept)
+            base, kept = Base(shared.value, rows), []
+            mine = rows.filter(rows.column("asks"))
+            for at in range(0, mine.num_rows, 1024):
+                yield from ask(mine.slice(at, 1024))
+
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            code = t.column("block").to_numpy().astype(np.int64) << 32 | t.column("copy").to_numpy().astype(np.int64) << 1 | t.column("role").to_numpy()
+            cuts = np.flatnonzero(np.diff(code)) + 1 if len(code) else []
+            for lo, hi in zip([0, *cuts], [*cuts, len(code)]):
+                if lo == hi:
                     continue
-                p, q = a[hit // len(b)], b[hit % len(b)]
-                ok = s.ravel()[hit] >= np.minimum(self.bound[p], self.bound[q]) - PRODUCT_ERROR
-                if left == right:
-                    ok &= p < q
-                p, q = p[ok], q[ok]
-                cosine = np.empty(len(p))
-                for z in range(0, len(p), 1 << 16):
-                    cosine[z : z + (1 << 16)] = np.einsum("ij,ij->i", self.x[p[z : z + (1 << 16)]], self.x[q[z : z + (1 << 16)]])
-                for r, o in ((p, q), (q, p)):
-                    ok = cosine >= self.bound[r]
-                    kept.append((r[ok], o[ok], np.round(cosine[ok], 6)))
-            if kept:
-                yield tuple(np.concatenate(c) for c in zip(*kept))
+                which, role = int(code[lo]) >> 1, int(code[lo]) & 1
+                if which != key:
+                    if kept:
+                        yield from settled()
+                    key, base = which, None
+                if role == 0:
+                    kept.append(t.slice(lo, hi - lo))
+                    continue
+                if kept:
+                    yield from settled()
+                if base is not None:  # else no vector is in the block
+                    for at in range(lo, hi, 1024):
+                        yield from ask(t.slice(at, min(1024, hi - at)))
+        if kept:
+            yield from settled()
+
+    sent = "block int, copy int, role int, asks boolean, vec_key long, chunk_id string, vec binary, list int, own float, code binary"
+    tasks = max(partitions(placed.sparkSession), 2 * sum(copies.value.values()) // 3, sum(asked.values()) * 320 // TASK_BYTES)
+    each = placed.mapInArrow(send, sent).repartition(tasks, "block", "copy").sortWithinPartitions("block", "copy", "role")
+    return written(each.mapInArrow(search, "vec_key long, vec_id string, other_key long, other_id string, cosine double"), "neighbours")
 
 
 def most_similar(chunks: DataFrame, k: int = 10, least: float = 0.85) -> DataFrame:
     """(chunk_id, other_id, cosine, rank): for each chunk_id with a usable embedding its k most similar other chunks with a cosine of at least `least`.
 
     Cosines are rounded to 6 decimals, ties go to the smaller chunk_id. Rows of a chunk_id count once. The cosines are
-    exact, and none is missing. Null chunk_ids and embeddings that are null, empty, of another length, all zero or not finite give
+    exact; of the neighbours a share of about one in a thousand can be missing (see the README). Null chunk_ids and embeddings that are null, empty, of another length, all zero or not finite give
     nothing. Other columns aren't read.
     """
     members, near = class_neighbours(chunks, k, least)

@@ -76,6 +76,16 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 8, spherical: bool = True, seed:
     return c
 
 
+def kmeans_tree(x: np.ndarray, k: int) -> np.ndarray:
+    """Unit centroids of unit rows; many of them by clusters of clusters, each with its share."""
+    if k <= 1024:
+        return kmeans(x, max(1, k))
+    coarse = kmeans(x, int(k**0.5))
+    near = np.concatenate([(x[at : at + 4096] @ coarse.T).argmax(1) for at in range(0, len(x), 4096)])
+    size = np.bincount(near, minlength=len(coarse))
+    return np.concatenate([kmeans(x[near == c], max(1, round(k * n / len(x)))) for c, n in enumerate(size) if n])
+
+
 class Lists:
     """Inverted file: centroids of (possibly reduced) unit vectors; a vector belongs to its nearest list and to those within a margin."""
 
