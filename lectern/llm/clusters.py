@@ -1,8 +1,9 @@
 """Problem 3: clusters of mutually similar records.
 
 Density clustering over spatially partitioned vectors: reduced vectors place each record in the cell of its nearest
-centroid and, with a margin, in neighbouring cells. Each cell is clustered by itself; local clusters that share a core
-record are one. Clusters are then checked on the full vectors: every two members must have the similarity. Medoids are
+centroid and, with a margin, in neighbouring cells. Each cell is clustered by itself: core records have several records
+within the similarity, core records near each other and those on their border are a local cluster. Local clusters that
+share a core record are one. Clusters are then checked on the full vectors: every two members must have the similarity. Medoids are
 the members with the greatest mean similarity.
 """
 
@@ -16,51 +17,114 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.llm.common import mix, signed, table, written
+from lectern.llm.common import mix, partitions, signed, table, written
 from lectern.llm.components import components
 from lectern.llm.vectors import DIMENSION, Lists, fit_sample, groups_of, listed, matrix, n_lists, one_vector, unit, usable, without_hot
 
 PER_CELL, MARGIN, MOST_MEMBERSHIPS, REDUCED = 600, 0.2, 3, 40
+#: A core record has so many records within the similarity, itself counted, among those of its cell.
+DENSITY = 3
+#: Bytes of rows that one task shall read.
+TASK_BYTES = 8 << 20
 #: Cells with more members are split.
 HOT_CELL = 16_384
 #: Members of a cluster that one task compares; larger clusters are compared block by block.
 MOST_TOGETHER = 8_192
 
 
-def reaches(x: np.ndarray, least: float) -> np.ndarray:
-    """Label of each row: the least row it is connected with through pairs of at least this cosine."""
-    label = np.arange(len(x))
-    single = x.astype(np.float32)
-    while True:
-        new = label.copy()
-        for at in range(0, len(x), 512):
-            s = single[at : at + 512] @ single.T
-            near = s >= least
-            q, b = np.nonzero(np.abs(s - least) < 1e-5)
-            if len(q):
-                near[q, b] = np.einsum("ij,ij->i", x[at + q], x[b]) >= least - 1e-12
-            near[np.arange(len(s)), at + np.arange(len(s))] = True
-            new[at : at + 512] = np.where(near, label[None, :], len(x)).min(1)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
-def local_clusters(cells: DataFrame, least: float) -> DataFrame:
-    """(vec_key, modality, local): of each cell its clusters of at least two records; local names cell and cluster."""
+class Sets:
+    """Union-find over the rows of a cell; a set is named by its least row."""
+
+    def __init__(self, n: int) -> None:
+        self.name = np.arange(n)
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Joins the sets of rows a and b, pair by pair."""
+        a, b = self.name[a], self.name[b]
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b], axis=0)
+        up: dict[int, int] = {}
+
+        def top(k: int) -> int:
+            while k in up:
+                k = up[k]
+            return k
+
+        for x, y in pairs.tolist():
+            x, y = top(x), top(y)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+        if up:
+            to = np.arange(len(self.name))
+            moved = list(up)
+            to[moved] = [top(k) for k in moved]
+            self.name = to[self.name]
+
+
+def local_density(x: np.ndarray, copies: np.ndarray, least: float, density: int) -> tuple[np.ndarray, np.ndarray]:
+    """(label, core) of each row of a cell: core rows have at least `density` records within the cosine, themselves and copies counted; core rows within it of each other share a label, other rows have the label of their nearest core row, or -1."""
+    single, n = x.astype(np.float32), len(x)
+    weight, tile = np.zeros(n), max(64, (1 << 21) // max(1, n))
+
+    def near(at: int) -> np.ndarray:
+        s = single[at : at + tile] @ single.T
+        out = s >= least
+        q, b = np.nonzero(np.abs(s - least) < 1e-5)
+        if len(q):
+            out[q, b] = np.einsum("ij,ij->i", x[at + q], x[b]) >= least - 1e-12
+        out[np.arange(len(s)), at + np.arange(len(s))] = True
+        return out
+
+    for at in range(0, n, tile):
+        weight[at : at + tile] = near(at) @ copies
+    core = weight >= density
+    sets = Sets(n)
+    lone = np.flatnonzero(~core & (weight > copies))
+    for at in range(0, n, tile):
+        rows = np.arange(at, min(at + tile, n))
+        if not core[rows].any():
+            continue
+        close = near(at) & core[None, :] & core[rows, None] & (sets.name[rows, None] != sets.name[None, :])
+        q, b = np.nonzero(close)
+        if len(q):
+            sets.join(rows[q], b)
+    label = np.where(core, sets.name, -1)
+    for at in range(0, len(lone), tile):
+        rows = lone[at : at + tile]
+        s = np.where(core[None, :], x[rows] @ x.T, -2)
+        best = s.argmax(1)
+        ok = s[np.arange(len(rows)), best] >= least - 1e-12
+        label[rows[ok]] = label[best[ok]]
+    return label, core
+
+
+def local_clusters(cells: DataFrame, least: float, density: int) -> DataFrame:
+    """(vec_key, modality, local, core): of each cell its density clusters; local names cell and cluster."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups_of(batches, ["modality", "list", "sub"]):
-            label = reaches(unit(matrix(t.column("vec"))), least)
-            weight = np.bincount(label, t.column("copies").to_numpy(), len(label))
-            keep = np.flatnonzero(weight[label] >= 2)
+            label, core = local_density(unit(matrix(t.column("vec"))), t.column("copies").to_numpy().astype(float), least, density)
+            keep = np.flatnonzero(label >= 0)
             key = t.column("vec_key").to_numpy().view(np.uint64)
             name = mix(key[label[keep]] + mix(np.array([t.column("list")[0].as_py() * 65536 + t.column("sub")[0].as_py()], np.uint64)))
             rows = pa.array(keep)
-            yield pa.RecordBatch.from_arrays([t.column("vec_key").combine_chunks().take(rows), t.column("modality").combine_chunks().take(rows), pa.array(signed(name))], names=["vec_key", "modality", "local"])
+            yield pa.RecordBatch.from_arrays([t.column("vec_key").combine_chunks().take(rows), t.column("modality").combine_chunks().take(rows), pa.array(signed(name)), pa.array(core[keep])], names=["vec_key", "modality", "local", "core"])
 
-    return cells.repartition("modality", "list", "sub").sortWithinPartitions("modality", "list", "sub").mapInArrow(run, "vec_key long, modality string, local long")
+    tasks = max(partitions(cells.sparkSession), cells.count() * 300 // TASK_BYTES)
+    return cells.repartition(tasks, "modality", "list", "sub").sortWithinPartitions("modality", "list", "sub").mapInArrow(run, "vec_key long, modality string, local long, core boolean")
+
+
+def without_far(rows: DataFrame, least: float) -> DataFrame:
+    """rows (cluster, vec, n) of the clusters whose first and last vector have the cosine to every other: one far pair is enough to drop a cluster, whatever its size."""
+    ends = rows.groupBy("cluster").agg(F.min("vec").alias("low"), F.max("vec").alias("high"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, low, high = (unit(matrix(batch.column(c))) for c in ("vec", "low", "high")) if batch.num_rows else (np.empty((0, DIMENSION)),) * 3
+            far = np.minimum((x * low).sum(1), (x * high).sum(1)) < least - 1e-12
+            yield pa.RecordBatch.from_arrays([batch.column("cluster").filter(pa.array(far))], names=["cluster"])
+
+    far = rows.select("cluster", "vec").join(ends, "cluster").mapInArrow(run, "cluster long").distinct()
+    return rows.join(far, "cluster", "left_anti")
 
 
 def similar_throughout(rows: DataFrame, least: float) -> DataFrame:
@@ -98,7 +162,7 @@ def similar_throughout(rows: DataFrame, least: float) -> DataFrame:
     return good.unionByName(worst.groupBy("cluster").agg(F.min("worst").alias("worst")).where(F.col("worst") >= least - 1e-12).select("cluster"))
 
 
-def clustered(chunks: DataFrame, least: float = 0.85, least_size: int = 5) -> tuple[DataFrame, DataFrame]:
+def clustered(chunks: DataFrame, least: float = 0.85, least_size: int = 5, density: int = DENSITY) -> tuple[DataFrame, DataFrame]:
     """members (chunk_id, modality, vec_key, cluster, cluster_id, size) and vectors (vec_key, modality, cluster, copies, vec)."""
     spark = chunks.sparkSession
     rows = usable(chunks).where("modality is not null")
@@ -114,16 +178,16 @@ def clustered(chunks: DataFrame, least: float = 0.85, least_size: int = 5) -> tu
     cells = Lists(sample, n_lists(n, PER_CELL), MARGIN, MOST_MEMBERSHIPS, REDUCED)
     columns = ["vec_key", "modality", "copies"]
     members_of = without_hot(written(listed(classes, cells, columns), "cells"), columns, HOT_CELL)
-    local = written(local_clusters(members_of, least), "local_clusters")
-    # a record in several local clusters makes them one
-    ties = local.groupBy("vec_key", "modality").agg(F.collect_set("local").alias("l")).where("size(l) > 1").select(F.array_min("l").alias("a"), F.explode("l").alias("b"))
+    local = written(local_clusters(written(members_of, "cell_members"), least, density), "local_clusters")
+    # a record in several local clusters that is a core record in one of them makes them one
+    ties = local.groupBy("vec_key", "modality").agg(F.collect_set("local").alias("l"), F.max("core").alias("core")).where("size(l) > 1 and core").select(F.array_min("l").alias("a"), F.explode("l").alias("b"))
     names = written(components(ties), "cluster_names")
     of = local.groupBy("vec_key", "modality").agg(F.min("local").alias("node")).join(names, "node", "left").select("vec_key", "modality", F.coalesce("component", "node").alias("cluster"))
     of = written(of, "record_clusters")
     sizes = of.join(members, ["vec_key", "modality"]).groupBy("cluster").agg(F.count("*").alias("size"), F.min("chunk_id").alias("cluster_id"), F.countDistinct("vec_key").alias("n")).where(F.col("size") >= least_size)
     sizes = written(sizes, "cluster_sizes")
     in_clusters = classes.join(of.join(sizes, "cluster"), ["vec_key", "modality"]).select("vec_key", "modality", "cluster", "copies", "vec", "n")
-    good = written(similar_throughout(in_clusters.select("cluster", "vec", "n"), least), "clusters")
+    good = written(similar_throughout(written(without_far(in_clusters.select("cluster", "vec", "n"), least), "checked"), least), "clusters")
     out = of.join(good, "cluster").join(sizes.select("cluster", "cluster_id", "size"), "cluster").join(members, ["vec_key", "modality"])
     return out.select("chunk_id", "modality", "vec_key", "cluster", "cluster_id", "size"), in_clusters.join(good, "cluster").drop("n")
 

@@ -16,8 +16,9 @@ DIMENSION = 64
 #: Vectors that indexes are fitted on: those whose keys are least. Every vector is indexed.
 MOST_FITTED = 32_768
 MOST_LISTS = 2_048
-#: Of each hot list so many members (fewer where many lists are hot) are taken to fit its finer centroids.
-HOT_SAMPLE = 4_096
+#: Members of a hot list that each of its finer centroids is fitted on; margin and most memberships among these.
+SAMPLED = 16
+FINER = 0.03, 4
 
 
 def usable(chunks: DataFrame, dimension: int = DIMENSION) -> DataFrame:
@@ -99,6 +100,13 @@ class Lists:
         self.margin, self.most = margin, most
         self.centroids = kmeans(x, max(1, n_lists))
 
+    @classmethod
+    def of(cls, centroids: np.ndarray, margin: float, most: int) -> Lists:
+        """Lists of centroids that are fitted already."""
+        out = cls.__new__(cls)
+        out.basis, out.margin, out.most, out.centroids = None, margin, most, centroids
+        return out
+
     def project(self, x: np.ndarray) -> np.ndarray:
         if self.basis is None:
             return x
@@ -177,12 +185,8 @@ def without_hot(rows: DataFrame, columns: list[str], most: int) -> DataFrame:
         return plain
     names = [r["list"] for r in hot]
     large = rows.where(F.col("list").isin(names))
-    each = max(256, HOT_SAMPLE * 16 // max(16, len(hot)))
-    order = W.partitionBy("list").orderBy("vec_key")
-    sample = large.select("list", "vec_key", "vec").withColumn("k", F.row_number().over(order)).where(F.col("k") <= each).toArrow()
-    which, x = sample.column("list").to_numpy(), matrix(sample.column("vec"))
-    finer = {r["list"]: Lists(x[which == r["list"]], max(2, min(256, r["n"] // 1024)), 0.03, 4) for r in hot}
-    shared = rows.sparkSession.sparkContext.broadcast(finer)  # bounded as the sample is
+    parts = {r["list"]: int(max(2, min(256, r["n"] // 1024))) for r in hot}
+    shared = rows.sparkSession.sparkContext.broadcast(finer_lists(large, parts))  # 256 centroids at most for each of MOST_LISTS
     names_out = [*columns, "list", "lists", "vec", "sub"]
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns)
 
@@ -204,6 +208,22 @@ def without_hot(rows: DataFrame, columns: list[str], most: int) -> DataFrame:
     return plain.where(~F.col("list").isin(names)).select(*names_out).unionByName(split)
 
 
+def finer_lists(large: DataFrame, parts: dict[int, int]) -> dict[int, Lists]:
+    """Finer centroids of each hot list, `parts` of them, fitted in tasks on SAMPLED members for each; only the centroids come to the driver."""
+    order = W.partitionBy("list").orderBy("vec_key")
+    most = F.create_map(*[F.lit(x) for k, n in parts.items() for x in (int(k), SAMPLED * n)])
+    sample = large.select("list", "vec_key", "vec").withColumn("k", F.row_number().over(order)).where(F.col("k") <= most[F.col("list")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in groups_of(batches, ["list"]):
+            name = t.column("list")[0].as_py()
+            c = Lists(matrix(t.column("vec")), parts[name], *FINER).centroids
+            yield pa.RecordBatch.from_arrays([pa.array([name], pa.int32()), pa.array([c.astype(np.float32).tobytes()], pa.binary())], names=["list", "centroids"])
+
+    fitted = sample.select("list", "vec").repartition("list").sortWithinPartitions("list").mapInArrow(run, "list int, centroids binary")
+    return {r["list"]: Lists.of(np.frombuffer(r["centroids"], np.float32).reshape(-1, DIMENSION), *FINER) for r in fitted.collect()}
+
+
 def n_lists(n: int, per_list: int) -> int:
     return int(min(MOST_LISTS, max(1, n // per_list)))
 
