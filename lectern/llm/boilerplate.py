@@ -1,10 +1,10 @@
 """Problem 6: lines that one source prints in many of its documents.
 
-Lines are masked (numbers, dates, names) and put into classes by their letters; the classes of each source are clustered
-by five-word shingles of the masked line: locality-sensitive hashing ties members of a band to its most frequent line,
-an exact prefix filter finds the similar lines that this left apart, and verified links are joined to components.
-Components that stand in many documents are the source's boilerplate. Classes are made by letters, so equal lines always
-meet, whatever their masks.
+Lines are masked (numbers, dates, names); lines of one source with the same tokens and letters are one class. Classes are
+clustered by locality-sensitive hashing of the five-word shingles of the masked line: a band ties its members to its
+most frequent class, verified links are joined to components, and components that stand in many documents are the
+source's boilerplate. One more band is that of a line's letters, whatever its masks, so lines equal but for these always
+meet. Where near-duplicate lines are wanted too, an exact prefix filter finds the similar classes that the bands left apart.
 """
 
 from __future__ import annotations
@@ -17,23 +17,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import U64, batches_of, gram_hashes, mix, signed, string_hashes, table, written
+from lectern.llm.common import GOLDEN, U64, batches_of, gram_hashes, mix, passing, signed, string_hashes, table, written
 from lectern.llm.components import components
+from lectern.llm.spans import POWERS
 
-NOT_LETTERS = re.compile("[^a-z]+")
 # Month names that make a date.
 MONTHS = "january|february|march|april|may|june|july|august|september|october|november|december"
-DATE = re.compile(rf"\b(?:\d{{1,2}}\.?\s+)?(?:{MONTHS})\s+\d{{1,4}}(?:,?\s+\d{{4}})?\b|\b\d{{1,4}}[-/.]\d{{1,2}}[-/.]\d{{1,4}}\b", re.IGNORECASE)
+DATE = re.compile(rf"\b(?:\d{{1,2}}\.?[^\S\n]+)?(?:{MONTHS})[^\S\n]+\d{{1,4}}(?:,?[^\S\n]+\d{{4}})?\b|\b\d{{1,4}}[-/.]\d{{1,2}}[-/.]\d{{1,4}}\b", re.IGNORECASE)
 NUMBER = re.compile(r"\d+(?:[.,:]\d+)*")
 NAME = re.compile(r"(?<=[a-z,;] )[A-Z][a-z]+(?: [A-Z][a-z]+)*")
 TOKEN = re.compile("[a-z]+|[#@~]")
+TOKEN_OR_END = re.compile("[a-z]+|[#@~]|\n")
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 4, 2
 
 
-def letters(line: str) -> str:
-    return NOT_LETTERS.sub("", line.lower())
-
-
 def masked(line: str) -> list[str]:
     """The line's tokens with dates as @, numbers as # and names as ~."""
     return TOKEN.findall(NAME.sub("~", NUMBER.sub("#", DATE.sub("@", line))).lower())
@@ -44,65 +41,101 @@ def documents_sources(documents: DataFrame) -> DataFrame:
     return documents.select("document_id", F.col("metadata.source").alias("source")).where("document_id is not null and source is not null").groupBy("document_id").agg(F.min("source").alias("source"))
 
 
-def text_lines(chunks: DataFrame, documents: DataFrame, least_letters: int) -> DataFrame:
-    """(chunk_id, line_no, source_key, line_key, document_key, line): the lines of text chunks that have letters enough."""
-    text = chunks.where("modality = 'text' and chunk_id is not null and document_id is not null and content is not null").select("chunk_id", "document_id", "content")
+class Lines:
+    """The lines of several texts: text and number (from 1) of each, its letters as a count and a hash, its masked tokens as symbols."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            chunk, number, rows, keys, kept = [], [], [], [], []
-            for k, (c, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
-                for n, line in enumerate(text.split("\n"), 1):
-                    if len(line) >= least_letters and len(key := letters(line)) >= least_letters:
-                        chunk.append(c), number.append(n), rows.append(k), keys.append(key), kept.append(line)
-            at = np.asarray(rows, np.int64)
-            source = string_hashes(batch.column(3).to_pylist())[at]
-            document = string_hashes(batch.column(1).to_pylist())[at]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(chunk, pa.string()), pa.array(number, pa.int32()), pa.array(signed(source)), pa.array(signed(mix(string_hashes(keys) ^ mix(source)))), pa.array(signed(document)), pa.array(kept, pa.string())],
-                names=["chunk_id", "line_no", "source_key", "line_key", "document_key", "line"],
-            )
+    def __init__(self, texts: list[str]) -> None:
+        blob = np.frombuffer("\n".join(texts).lower().encode("utf-8", "surrogatepass"), np.uint8)
+        ends = np.flatnonzero(blob == 10)
+        letter = (blob >= 97) & (blob <= 122)
+        at = np.concatenate([np.zeros(1, np.int64), np.cumsum(letter)])
+        low, high = at[np.concatenate([[0], ends + 1])], at[np.concatenate([ends, [len(blob)]])]
+        self.letters = high - low
+        # a line's letters as a polynomial; the powers before it are divided out
+        up, down = POWERS.get(int(at[-1]) + 1)
+        total = np.concatenate([np.zeros(1, U64), np.cumsum(LETTERS[blob[letter] - 97] * up[: int(at[-1])], dtype=U64)])
+        self.letters_key = mix((total[high] - total[low]) * down[low] + self.letters.astype(U64))
+        count = np.array([t.count("\n") + 1 for t in texts])
+        self.text = np.repeat(np.arange(len(texts)), count)
+        self.number = np.arange(len(self.text)) - np.repeat(np.cumsum(count) - count, count) + 1
 
-    return text.join(documents_sources(documents), "document_id").select("chunk_id", "document_id", "content", "source").mapInArrow(run, "chunk_id string, line_no int, source_key long, line_key long, document_key long, line string")
+    def tokens(self, texts: list[str]) -> None:
+        """symbols, and first and size of each line among them."""
+        known: dict[str, int] = {"\n": 0}
+        found = TOKEN_OR_END.findall("\n".join(NAME.sub("~", NUMBER.sub("#", DATE.sub("@", t))) for t in texts).lower())
+        ids = np.fromiter((known.setdefault(t, len(known)) for t in found), np.int64, len(found))
+        ends = np.flatnonzero(ids == 0)
+        self.first = np.concatenate([[0], ends + 1])
+        self.size = np.concatenate([ends, [len(ids)]]) - self.first
+        self.symbols = string_hashes(list(known))[ids] if len(ids) else np.empty(0, U64)
 
 
-def line_bands(classes: DataFrame) -> DataFrame:
-    """(line_key, docs, band): a row for each class of lines and band of its signature; a line under five tokens is one shingle."""
+LETTERS = mix(np.arange(1, 27, dtype=U64) * GOLDEN)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches_of(batches, 4096):
-            source = part.column("source_key").to_numpy().view(U64)
-            g, grams, _ = line_shingles(part.column("line").to_pylist())
-            first = np.cumsum(grams) - grams
-            bands = []
-            for b in range(BANDS):
-                band = source + U64(b + 1)
-                for r in range(ROWS):
-                    least = np.minimum.reduceat(mix(g ^ U64(0xA5A5 + 7919 * (b * ROWS + r))), first)
-                    band = mix(band ^ least)
-                bands.append(band)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(part.column("line_key").to_numpy(), BANDS)), pa.array(np.tile(part.column("docs").to_numpy(), BANDS)), pa.array(signed(np.concatenate(bands)))],
-                names=["line_key", "docs", "band"],
-            )
 
-    return classes.select("source_key", "line_key", "docs", "line").mapInArrow(run, "line_key long, docs long, band long")
+def text_lines(chunks: DataFrame, documents: DataFrame, least_letters: int) -> DataFrame:
+    """(chunk_id, line_no, source_key, letters_key, unit, document_key, bands, line): the lines of text chunks that have letters enough.
 
+    unit names the class of lines with the same source, letters and masked tokens.
+    """
+    text = chunks.where("modality = 'text' and chunk_id is not null and document_id is not null and content is not null").select("chunk_id", "document_id", "content")
 
-def line_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the shingles of masked lines, their number for each line, and the line of each; a line under five tokens is one shingle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                texts = part.column(2).to_pylist()
+                lines = Lines(texts)
+                keep = np.flatnonzero(lines.letters >= least_letters)
+                if not len(keep):
+                    continue
+                lines.tokens(texts)
+                source = string_hashes(part.column(3).to_pylist())[lines.text[keep]]
+                document = string_hashes(part.column(1).to_pylist())[lines.text[keep]]
+                own = mix(lines.letters_key[keep] ^ mix(source))
+                g, grams, whole = line_grams(lines.symbols, lines.first[keep], lines.size[keep])
+                unit = mix(own * GOLDEN + whole)
+                bands = np.concatenate([*minima(g, grams, source), own + U64(BANDS)]).reshape(BANDS + 1, -1).T
+                each = [x for t in texts for x in t.split("\n")]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(lines.text[keep])), pa.array(lines.number[keep].astype(np.int32)), *(pa.array(signed(x)) for x in (source, own, unit, document)),
+                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(keep) * (BANDS + 1) + 1, BANDS + 1, dtype=np.int32)), pa.array(signed(np.ascontiguousarray(bands).ravel()))), pa.array([each[k] for k in keep.tolist()], pa.string())],
+                    names=["chunk_id", "line_no", "source_key", "letters_key", "unit", "document_key", "bands", "line"],
+                )
+
+    return text.join(documents_sources(documents), "document_id").select("chunk_id", "document_id", "content", "source").mapInArrow(run, "chunk_id string, line_no int, source_key long, letters_key long, unit long, document_key long, bands array<long>, line string")
+
+
+def line_grams(symbols: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingle hashes of lines of tokens, their number for each line, and a hash of each whole line; a line under five tokens is one shingle."""
+    padded = np.concatenate([symbols, np.zeros(SHINGLE, U64)])
+    total = np.concatenate([np.zeros(1, U64), np.cumsum(mix(symbols) * (up := POWERS.get(len(symbols) + 1))[0][: len(symbols)], dtype=U64)])
+    whole = mix((total[first + size] - total[first]) * up[1][first] + size.astype(U64))
+    grams = np.maximum(size - SHINGLE + 1, 1)
+    begin = np.cumsum(grams) - grams
+    at = np.arange(grams.sum()) - np.repeat(begin, grams) + np.repeat(first, grams)
+    g = gram_hashes(padded, SHINGLE)[at]
+    short = size < SHINGLE
+    g[begin[short]] = whole[short]
+    return g, grams, whole
+
+
+def minima(g: np.ndarray, grams: np.ndarray, source: np.ndarray) -> Iterator[np.ndarray]:
+    """A key of each line for each band of its signature."""
+    first = np.cumsum(grams) - grams
+    for b in range(BANDS):
+        band = source + U64(b + 1)
+        for r in range(ROWS):
+            band = mix(band ^ np.minimum.reduceat(mix(g ^ U64(0xA5A5 + 7919 * (b * ROWS + r))), first))
+        yield band
+
+
+def line_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of masked lines, and the line of each."""
     tokens = [masked(x) for x in lines]
     size = np.array([len(t) for t in tokens])
-    symbols = token_symbols(tokens)
-    grams = np.maximum(size - SHINGLE + 1, 1)
-    owner = np.repeat(np.arange(len(lines)), grams)
-    start = np.repeat(np.cumsum(size) - size, grams) + np.arange(grams.sum()) - np.repeat(np.cumsum(grams) - grams, grams)
-    padded = np.concatenate([symbols, np.zeros(SHINGLE, U64)])
-    g = gram_hashes(padded, SHINGLE)[start]
-    short = size[owner] < SHINGLE  # one shingle: the whole line
-    for k in np.flatnonzero(short):
-        g[k] = mix(np.array([hash_of(tokens[owner[k]])], U64))[0]
-    return g, grams, owner
+    g, grams, _ = line_grams(token_symbols(tokens), np.cumsum(size) - size, size)
+    return g, np.repeat(np.arange(len(lines)), grams)
 
 
 def line_prefixes(classes: DataFrame) -> DataFrame:
@@ -110,7 +143,7 @@ def line_prefixes(classes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches_of(batches, 4096):
-            g, _, owner = line_shingles(part.column("line").to_pylist())
+            g, owner = line_shingles(part.column("line").to_pylist())
             g = mix(g ^ mix(part.column("source_key").to_numpy().view(U64))[owner])
             order = np.lexsort((g, owner))
             g, owner = g[order], owner[order]
@@ -172,10 +205,6 @@ def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | Non
     yield None
 
 
-def hash_of(tokens: list[str]) -> int:
-    return int(string_hashes(["\0".join(tokens)])[0])
-
-
 def token_symbols(tokens: list[list[str]]) -> np.ndarray:
     known: dict[str, int] = {}
     ids = [known.setdefault(t, len(known)) for x in tokens for t in x]
@@ -187,31 +216,39 @@ def shingles(line: str) -> set[tuple[str, ...]]:
     return {tuple(t[i : i + SHINGLE]) for i in range(max(1, len(t) - SHINGLE + 1))}
 
 
-def repeated_lines(lines: DataFrame, least_docs: int = 6) -> DataFrame:
-    """(line_key, docs, cluster_docs): the classes of lines that belong to a cluster standing in at least least_docs documents of the source.
+def line_links(units: DataFrame) -> DataFrame:
+    """(line_key, head_key): classes that are tied to the head of one of their bands: with the same letters, or with SIMILARITY.
 
-    docs counts the documents of the class itself, cluster_docs those of its cluster. Clusters are the connected
-    components of the source's classes whose five-word shingles have a similarity of SIMILARITY or more; none is missed.
+    units: (unit, source_key, letters_key, bands, rows, line). Each band's most frequent class is its head.
     """
-    per_document = lines.groupBy("source_key", "line_key", "document_key").agg(F.min("line").alias("line"))
-    classes = per_document.groupBy("source_key", "line_key").agg(F.count("*").alias("docs"), F.min("line").alias("line"))
-    classes = written(classes, "line_classes")
-    banded = line_bands(classes)
-    # the most frequent class of each band stands for it; this only saves pairs, the prefix filter finds what is left
-    heads = banded.groupBy("band").agg(F.sum("docs").alias("n"), F.count("*").alias("members"), F.max(F.struct("docs", "line_key")).alias("head")).where((F.col("n") >= least_docs) & (F.col("members") > 1))
-    pairs = banded.join(heads.select("band", F.col("head.line_key").alias("head_key")), "band").where("line_key <> head_key").select("line_key", "head_key").distinct()
-    text = classes.select("line_key", "line")
-    first = written(near_lines(pairs, text), "band_links")
-    known = components(first.toDF("a", "b")).select(F.col("node").alias("line_key"), F.col("component").alias("cluster")) if first.limit(1).count() else first.selectExpr("line_key", "head_key as cluster")
-    apart = classes.join(known, "line_key", "left").withColumn("cluster", F.coalesce("cluster", "line_key"))
-    more = written(near_lines(written(prefix_pairs(line_prefixes(apart)), "prefix_pairs"), text), "prefix_links")
-    links = first.unionByName(more)
-    if not links.limit(1).count():
-        return classes.where(F.col("docs") >= least_docs).select("line_key", "docs", F.col("docs").alias("cluster_docs"))
-    clusters = written(components(links.selectExpr("line_key as a", "head_key as b")).selectExpr("node as line_key", "component as head_key"), "line_clusters")
-    joint = clusters.join(lines.select("line_key", "document_key").distinct(), "line_key").groupBy("head_key").agg(F.countDistinct("document_key").alias("cluster_docs"))
-    best = clusters.join(joint, "head_key").select("line_key", "cluster_docs")
-    return classes.select("line_key", "docs").join(best, "line_key", "left").select("line_key", "docs", F.coalesce("cluster_docs", "docs").alias("cluster_docs")).where(F.col("cluster_docs") >= least_docs)
+    each = units.select("unit", "letters_key", "rows", F.explode("bands").alias("band"))
+    heads = each.groupBy("band").agg(F.count("*").alias("members"), F.max(F.struct("rows", "unit", "letters_key")).alias("head")).where("members > 1")
+    heads = written(heads.select("band", F.col("head.unit").alias("head_key"), F.col("head.letters_key").alias("head_letters")), "band_heads")
+    members = passing(each.select("band", "unit", "letters_key"), F.col("band"), heads.select("band"))
+    pairs = members.join(heads, "band").where("unit <> head_key").select(F.col("unit").alias("line_key"), "letters_key", "head_key", "head_letters").distinct()
+    pairs = written(pairs, "band_pairs")
+    equal = pairs.where("letters_key = head_letters").select("line_key", "head_key")
+    other = pairs.where("letters_key <> head_letters").select("line_key", "head_key")
+    return equal.unionByName(near_lines(other, line_texts(other, units)))
+
+
+def line_texts(pairs: DataFrame, units: DataFrame) -> DataFrame:
+    """(line_key, line) of the classes in pairs."""
+    keys = pairs.select("line_key").union(pairs.select("head_key")).distinct()
+    return passing(units.select(F.col("unit").alias("line_key"), "line"), F.col("line_key"), keys)
+
+
+def line_clusters(units: DataFrame, complete: bool) -> DataFrame:
+    """(unit, cluster): the class each class is clustered with; complete adds what the bands left apart."""
+    links = written(line_links(units), "band_links")
+    clusters = components(links.toDF("a", "b")).select(F.col("node").alias("unit"), F.col("component").alias("cluster"))
+    if not complete:
+        return clusters
+    clusters = written(clusters, "band_clusters")
+    apart = units.join(clusters, "unit", "left").select("source_key", F.col("unit").alias("line_key"), F.coalesce("cluster", "unit").alias("cluster"), "line")
+    pairs = written(prefix_pairs(line_prefixes(apart)), "prefix_pairs")
+    more = written(near_lines(pairs, line_texts(pairs, units)), "prefix_links")
+    return components(links.unionByName(more).toDF("a", "b")).select(F.col("node").alias("unit"), F.col("component").alias("cluster"))
 
 
 def near_lines(pairs: DataFrame, text: DataFrame) -> DataFrame:
@@ -232,16 +269,29 @@ def near_lines(pairs: DataFrame, text: DataFrame) -> DataFrame:
     return near.mapInArrow(run, "line_key long, head_key long")
 
 
-def boilerplate_lines(chunks: DataFrame, documents: DataFrame, least_docs: int = 6, least_letters: int = 30) -> DataFrame:
-    """(chunk_id, line_no, docs, cluster_docs): the lines of text chunks that their source repeats.
+def boilerplate_lines(chunks: DataFrame, documents: DataFrame, least_docs: int = 6, least_letters: int = 30, complete: bool = True) -> DataFrame:
+    """(chunk_id, line_no, docs, cluster_docs): the lines of text chunks that belong to a cluster standing in least_docs documents of their source.
 
     Rows of a chunk_id count once. Lines with fewer than least_letters letters, chunks with a null id, document or
-    content, and documents without a source give nothing. docs is the number of the source's documents with the same
-    letters, cluster_docs that of the near-duplicate cluster; rows with cluster_docs >= least_docs come out.
+    content, and documents without a source give nothing. docs is the number of the cluster's documents with the line's
+    own letters, cluster_docs that of all its documents. Lines with the same letters are always in one cluster. With
+    complete, clusters are the components of lines whose five-word shingles have a similarity of SIMILARITY or more,
+    and none is missed; without it, they are what the bands tie.
     """
     lines = written(text_lines(chunks, documents, least_letters), "lines")
-    found = written(repeated_lines(lines, least_docs), "repeated_lines")
-    return lines.select("chunk_id", "line_no", "line_key").join(found, "line_key").select("chunk_id", "line_no", "docs", "cluster_docs").distinct()
+    units = lines.groupBy("unit").agg(F.count("*").alias("rows"), F.first("source_key").alias("source_key"), F.first("letters_key").alias("letters_key"), F.first("bands").alias("bands"), F.min("line").alias("line"))
+    units = written(units, "units")
+    clusters = written(line_clusters(units, complete), "line_clusters")
+    # a cluster with fewer lines than least_docs can't stand in so many documents
+    named = units.select("unit", "rows").join(clusters, "unit", "left").select("unit", "rows", F.coalesce("cluster", "unit").alias("cluster"))
+    often = named.groupBy("cluster").agg(F.sum("rows").alias("n")).where(F.col("n") >= least_docs).select("cluster")
+    kept = written(named.join(often, "cluster").select("unit", "cluster"), "frequent_units")
+    rows = passing(lines.select("chunk_id", "line_no", "letters_key", "unit", "document_key"), F.col("unit"), kept.select("unit")).join(kept, "unit")
+    rows = written(rows.select("chunk_id", "line_no", "cluster", "letters_key", "document_key").distinct(), "cluster_lines")
+    own = rows.groupBy("cluster", "letters_key").agg(F.countDistinct("document_key").alias("docs"))
+    whole = rows.groupBy("cluster").agg(F.countDistinct("document_key").alias("cluster_docs")).where(F.col("cluster_docs") >= least_docs)
+    counted = own.join(whole, "cluster")
+    return rows.select("chunk_id", "line_no", "cluster", "letters_key").join(counted, ["cluster", "letters_key"]).select("chunk_id", "line_no", "docs", "cluster_docs").distinct()
 
 
 def without_boilerplate(chunks: DataFrame, documents: DataFrame, least_docs: int = 6, least_letters: int = 30) -> DataFrame:
@@ -253,8 +303,8 @@ def without_boilerplate(chunks: DataFrame, documents: DataFrame, least_docs: int
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of the clusters whose own letters stand in six documents."""
-    found = boilerplate_lines(table(spark, sf_dir, "document_chunks"), table(spark, sf_dir, "processed_documents"))
+    """Lines of the clusters whose own letters stand in six of the cluster's documents; such lines meet in a band, so the prefix filter isn't needed."""
+    found = boilerplate_lines(table(spark, sf_dir, "document_chunks"), table(spark, sf_dir, "processed_documents"), complete=False)
     return found.where("docs >= 6").select("chunk_id", "line_no")
 
 

@@ -2,6 +2,7 @@ import random
 import re
 from collections import defaultdict
 
+from lectern.llm import boilerplate
 from lectern.llm.boilerplate import boilerplate_lines, shingles, without_boilerplate
 
 CHUNKS = "chunk_id string, document_id string, modality string, content string, source string, line_key string"
@@ -39,6 +40,27 @@ def test_found_and_near_lines(spark):
     assert all(r.cluster_docs == 7 for r in got if r.docs < 6)
 
 
+def test_bands_alone_give_equal_lines(spark, monkeypatch):
+    """Lines equal but for their masks meet in a band; without bands they would be classes of their own, so less would come out."""
+    rows, docs = made()
+    styles = ["Written for the school by Peter Smith in the Spring Of Last Year", "written for the school by peter smith in the spring of last year", "Written For The School By Peter smith 12, in the Spring of last year"]
+    rows += [(f"m{k}", f"d{k}", "text", f"x\n{styles[k % 3]}", "x", "x") for k in range(7)]
+    c, d = spark.createDataFrame(rows, CHUNKS), spark.createDataFrame(docs, DOCS)
+    found = lambda: {(r.chunk_id, r.line_no) for r in boilerplate_lines(c, d, complete=False).collect() if r.docs >= 6}
+    assert found() == brute(rows, docs) and ("m3", 2) in found()
+    monkeypatch.setattr(boilerplate, "line_links", lambda units: units.selectExpr("unit as line_key", "unit as head_key").limit(0))
+    assert found() < brute(rows, docs) and ("m3", 2) not in found()
+
+
+def test_keys_of_lines():
+    texts = ["One line, here\n\nAnother \u0130 line of 12 May 2020 by Adam", "one line HERE 7", ""]
+    lines = boilerplate.Lines(texts)
+    lines.tokens(texts)
+    assert lines.text.tolist() == [0, 0, 0, 1, 2] and lines.number.tolist() == [1, 2, 3, 1, 1] and lines.letters.tolist() == [11, 0, 23, 11, 0]
+    assert lines.letters_key[0] == lines.letters_key[3] != lines.letters_key[2]
+    assert lines.size.tolist() == [len(boilerplate.masked(x)) for t in texts for x in t.split("\n")]
+
+
 def test_removal_and_empty(spark):
     rows, docs = made()
     d = spark.createDataFrame(docs, DOCS)
