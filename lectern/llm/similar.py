@@ -83,12 +83,15 @@ class Index:
         """
         rng = np.random.default_rng(5)
         asked = rng.permutation(len(x))[:ASKED]
-        q = x[asked]
-        s = q @ x.T
-        s[np.arange(len(q)), asked] = -2
-        top = np.argpartition(-s, min(k, len(x) - 1), axis=1)[:, :k]
-        row, col = np.nonzero(np.take_along_axis(s, top, 1) >= least)
-        gap = own[asked[row]] - (q[row] * self.centroids[near[top[row, col]]]).sum(1)
+        q, gap = x[asked], [np.empty(0, np.float32)]
+        for at in range(0, len(q), 64):  # of the whole sample, a few queries at a time
+            mine = asked[at : at + 64]
+            s = x[mine] @ x.T
+            s[np.arange(len(mine)), mine] = -2
+            top = np.argpartition(s, max(0, len(x) - k - 1), axis=1)[:, -k:]
+            row, col = np.nonzero(np.take_along_axis(s, top, 1) >= least)
+            gap.append(own[mine[row]] - (x[mine[row]] * self.centroids[near[top[row, col]]]).sum(1))
+        gap = np.concatenate(gap)
         across = rng.standard_normal(q.shape).astype(np.float32)
         across -= (across * q).sum(1, keepdims=True) * q
         made = least * q + np.sqrt(1 - least**2) * across / np.maximum(np.linalg.norm(across, axis=1, keepdims=True), 1e-12)
