@@ -113,6 +113,17 @@ def hashed_sample(df: DataFrame, hashed: F.Column, most: int, rows: int) -> Data
     return df.orderBy("_hash", *[c for c in df.columns if c != "_hash"]).limit(most).drop("_hash")
 
 
+def one_each(spark: SparkSession, n: int) -> np.ndarray:
+    """n numbers that repartition(n, ...) by an int column sends to n different tasks, the k-th to task k."""
+    found, most = np.full(n, -1), 4 * n
+    while (found < 0).any():
+        rows = spark.range(most).select(F.pmod(F.hash(F.col("id").cast("int")), F.lit(n)).alias("task")).toArrow()
+        task = rows.column("task").to_numpy()
+        found[task[::-1]] = np.arange(most)[::-1]
+        most *= 4
+    return found
+
+
 class Bloom:
     """A set of 64-bit keys as bits: no key of the set is missed, few others pass. A key's bits lie in one of SEGMENTS segments, so each segment is made by one task."""
 

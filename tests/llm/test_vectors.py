@@ -104,7 +104,7 @@ def test_the_tables_decide_what_is_reranked(spark, monkeypatch):
     index = similar.Index(np.stack([usable(made())[k][1] for k in sorted(usable(made()))]), 400, 10, 0.85)
     x = np.stack([v for _, v in usable(made()).values()]).astype("f4")
     near, own, codes, _ = index.placed(x)
-    t = pa.table({"list": near.astype("i4"), "vec": [v.tobytes() for v in x], "code": [c.tobytes() for c in codes], "vec_key": np.arange(len(x)), "chunk_id": [str(k) for k in range(len(x))]})
+    t = pa.table({"list": near.astype("i4"), "vec": [v.tobytes() for v in x], "code": [c.tobytes() for c in codes], "own": own, "vec_key": np.arange(len(x)), "chunk_id": [str(k) for k in range(len(x))]})
     base = similar.Base(index, t)
     assert not list(base.near(x, own, np.arange(len(x)), 10, 0.85))
     monkeypatch.setattr(similar.Codes, "products", real)
