@@ -263,3 +263,15 @@ e as (select item_id, regexp_extract_all(lower(passage), '[a-z0-9]+') w from eva
 eg as (select item_id, unnest(list_transform(generate_series(1, len(w) - 11), lambda i: array_to_string(w[i:i+11], ' '))) g from e where len(w) >= 12)
 select distinct doc_id, item_id from dg join eg using (g)
 """
+
+P8_SPANS_SQL = """
+with d as (select doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') w from documents where text is not null),
+dg as (select doc_id, i - 1 as s, array_to_string(w[i:i+11], ' ') g from (select doc_id, w, unnest(generate_series(1, len(w) - 11)) i from d where len(w) >= 12) x),
+e as (select item_id, regexp_extract_all(lower(passage), '[a-z0-9]+') w from eval_items union all
+      select item_id, regexp_extract_all(lower(question), '[a-z0-9]+') w from eval_items),
+eg as (select item_id, unnest(list_transform(generate_series(1, len(w) - 11), lambda i: array_to_string(w[i:i+11], ' '))) g from e where len(w) >= 12),
+m as (select distinct doc_id, item_id, s from dg join eg using (g)),
+f as (select *, case when s <= lag(s) over (partition by doc_id, item_id order by s) + 12 then 0 else 1 end as fresh from m),
+k as (select *, sum(fresh) over (partition by doc_id, item_id order by s rows unbounded preceding) as island from f)
+select doc_id, item_id, cast(min(s) as integer) as span_start, cast(max(s) + 12 as integer) as span_end from k group by doc_id, item_id, island
+"""

@@ -34,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": spans.P1_SQL, "p3_found": clusters.P3_SQL, "p4_found": nearduplicates.P4_SQL, "p5_found": similar.P5_SQL, "p6_found": boilerplate.P6_SQL, "p7_texts": tokenize.P7_TEXTS_SQL, "p8_found": leaks.P8_SQL}
+    return {"p1_found": spans.P1_SQL, "p1_shares": spans.P1_SHARES_SQL, "p3_found": clusters.P3_SQL, "p4_found": nearduplicates.P4_SQL, "p5_found": similar.P5_SQL, "p6_found": boilerplate.P6_SQL, "p7_texts": tokenize.P7_TEXTS_SQL, "p8_found": leaks.P8_SQL, "p8_spans": leaks.P8_SPANS_SQL}

@@ -298,3 +298,9 @@ o as (select *, case when max(b) over (partition by chunk_id order by a rows bet
 i as (select *, sum(fresh) over (partition by chunk_id order by a rows unbounded preceding) as island from o)
 select chunk_id, cast(min(a) as integer) as span_start, cast(max(b) as integer) as span_end from i group by chunk_id, island
 """
+
+P1_SHARES_SQL = f"""
+with found as (select chunk_id, cast(sum(span_end - span_start) as bigint) as shared_chars, count(*) as spans from ({P1_SQL}) s group by 1),
+n as (select chunk_id, cast(max(coalesce(length(content), 0)) as integer) as n_chars from document_chunks group by 1)
+select chunk_id, n_chars, coalesce(shared_chars, 0) as shared_chars, coalesce(spans, 0) as spans, case when n_chars > 0 then coalesce(shared_chars, 0)::double / n_chars else 0.0 end as shared_share from n left join found using (chunk_id)
+"""
