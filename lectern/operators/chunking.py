@@ -71,12 +71,13 @@ def _windows(rows: DataFrame, keys: list[str], text: str, spans: Callable[[str,
     return rows.select(*keys, text).mapInArrow(run, f"{schema}, content string, chunk_index int, start_index int, end_index int, length int")
 
 
-def chunk_sentence_g2(documents: DataFrame, key: str = "document_id", text: str = "content", size: int = 1000, overlap: int = 200) -> DataFrame:
+def chunk_sentence_g2(documents: DataFrame, key: str | list[str] = "document_id", text: str = "content", size: int = 1000, overlap: int = 200) -> DataFrame:
     """(key, content, chunk_index, start_index, end_index, length): sentence-aware windows; blank ones are left out and take no index.
 
-    Null and empty texts give no chunk; positions count code points; end_index may exceed the text's length.
+    key may be several columns, which every chunk carries. Null and empty texts give no chunk; positions count code
+    points; end_index may exceed the text's length.
     """
-    return _windows(documents, [key], text, sentence_spans, size, overlap)
+    return _windows(documents, [key] if isinstance(key, str) else key, text, sentence_spans, size, overlap)
 
 
 def chunk_word_g1(documents: DataFrame, keys: list[str] | None = None, text: str = "content", size: int = 500, overlap: int = 200) -> DataFrame:

@@ -14,7 +14,7 @@ from lectern.plans.registry import QUERIES, SQL, table
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("lang", F.lit("unknown")).alias("lang"), clean_doc_g2(F.col("text")).alias("text"))
-    chunks = chunk_sentence_g2(docs, "doc_id", "text").join(docs.select("doc_id", "lang"), "doc_id")
+    chunks = chunk_sentence_g2(docs, ["doc_id", "lang"], "text")
     return chunk_summary(chunks.withColumn("type", F.lit("text")), ["lang"]).orderBy("lang")
 
 

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from lectern.functions import detect
 from lectern.functions.text import SPACE
 from lectern.operators import content, search
-from lectern.operators.embedding import Hashing, embed, embed_hashing
+from lectern.operators.chunking import chunk_sentence_g2
+from lectern.operators.embedding import Hashing, embed
 from lectern.operators.merge import dict_merge, first_value, full_outer_counts, list_merge, union_chunks, union_keys
 from lectern.operators.statistics import file_ordinals, preview
 from lectern.operators.store import store_metadata
 from lectern.plans import sql as S
 from lectern.plans.registry import query, table
+from lectern.plans.text_queries import code_sql
 from lectern.sources import config, files
 
 IMG, TAB = "image_records", "table_records"
@@ -165,62 +167,39 @@ def _chunks(spark, d):
 
 
 _I = "(select distinct * from image_records)"
-_PARTS = f"""select document_id, 'image' as type, coalesce(extracted_text, '') as content, coalesce(page_number, 0) as page_number, coalesce(image_index, 0) as item_index, 0 as kind_no from {_I} a
-union all select document_id, 'table', {_TABLE_TEXT}, coalesce(page_number, 0), coalesce(table_index, 0), 1 from (select distinct * from table_records) b
-union all select document_id, 'figure', coalesce(extracted_text, ''), coalesce(page_number, 0), coalesce(image_index, 0), 3 from {_I} c where {_IS_FIGURE}"""
+_CODE_CHUNKS = "select distinct {'d': document_id, 'c': chunk_id, 'p': coalesce(page_number, 0)} as k, content as t from document_chunks where modality = 'code' and content is not null"
+_CODE = f"(select k.d as document_id, k.p as page_number, chunk_index as item_index, type as code_type, content, lines, characters from ({code_sql(_CODE_CHUNKS)}) x)"
+_NONE = "null as code_type, 0 as lines, 0 as characters"
+_PARTS = f"""select document_id, 'image' as type, coalesce(extracted_text, '') as content, coalesce(page_number, 0) as page_number, coalesce(image_index, 0) as item_index, 0 as kind_no, {_NONE} from {_I} a
+union all select document_id, 'table', {_TABLE_TEXT}, coalesce(page_number, 0), coalesce(table_index, 0), 1, {_NONE} from (select distinct * from table_records) b
+union all select document_id, 'code', content, page_number, item_index, 2, code_type, lines, characters from {_CODE} c
+union all select document_id, 'figure', coalesce(extracted_text, ''), coalesce(page_number, 0), coalesce(image_index, 0), 3, {_NONE} from {_I} e where {_IS_FIGURE}"""
+_RUNNING = f"select document_id, type, content, page_number, item_index, code_type, cast(lines as bigint) as lines, cast(characters as bigint) as characters, cast(row_number() over (partition by document_id order by kind_no, page_number, item_index, content) - 1 as integer) as chunk_index from ({_PARTS}) p"
 
 
-def _without_code(spark, d):
-    none = _code(spark, d).limit(0)
-    return content.content_chunks(table(spark, d, IMG).distinct(), table(spark, d, TAB).distinct(), none)
+def _content_query(name: str, kind: str, *also: str) -> None:
+    columns = ["document_id", "content", "page_number", "item_index", "chunk_index", *also]
 
-
-_RUNNING = f"select document_id, type, content, page_number, item_index, cast(row_number() over (partition by document_id order by kind_no, page_number, item_index, content) - 1 as integer) as chunk_index from ({_PARTS}) p"
-
-
-def _content_query(name: str, kind: str) -> None:
-    @query(name, f"select document_id, content, page_number, item_index, chunk_index from ({_RUNNING}) x where type = '{kind}'")
+    @query(name, f"select {', '.join(columns)} from ({_RUNNING}) x where type = '{kind}'")
     def run(spark, d):
-        return _without_code(spark, d).where(F.col("type") == kind).select("document_id", "content", "page_number", "item_index", "chunk_index")
+        return _chunks(spark, d).where(F.col("type") == kind).select(*columns)
 
 
 for _kind in ("image", "table", "figure"):
     _content_query(f"prj_content_{_kind}", _kind)
+_content_query("prj_content_code", "code", "code_type", "lines", "characters")
 
+_CUT = S.sentence_chunks("select doc_id as k, coalesce(text, '') as t from documents")
 
-@query("prj_content_code")
-def prj_content_code(spark, d):
-    return _chunks(spark, d).where("type = 'code'").select("document_id", "content", "page_number", "item_index", "chunk_index", "code_type", "lines", "characters")
 
-
-@query("chunk_modality_g2", f"select document_id, type, cast(count(*) as bigint) as n, cast(sum(length(content)) as bigint) as chars from (select document_id, 'text' as type, content from document_chunks where modality = 'text' and content is not null union all select document_id, type, content from ({_RUNNING}) x) y group by 1, 2")
+@query("chunk_modality_g2", f"select document_id, type, cast(count(*) as bigint) as n, cast(sum(length(content)) as bigint) as chars from (select cast(k as varchar) as document_id, 'text' as type, content from ({_CUT}) t union all select document_id, type, content from ({_RUNNING}) x) y group by 1, 2")
 def chunk_modality_g2(spark, d):
-    text = table(spark, d, "document_chunks").where("modality = 'text' and content is not null").select("document_id", F.lit("text").alias("type"), "content")
-    both = union_chunks(text, _without_code(spark, d))
-    return both.groupBy("document_id", "type").agg(F.count("*").alias("n"), F.sum(F.length("content").cast("bigint")).alias("chars"))
-
-
-@query("prj_content_figure_all")
-def prj_content_figure_all(spark, d):
-    """Figures numbered after the document's code chunks; the SQL of prj_content_figure has no code."""
-    return _chunks(spark, d).where("type = 'figure'").select("document_id", "content", "page_number", "item_index", "chunk_index")
-
-
-@query("chunk_modality_g2_all")
-def chunk_modality_g2_all(spark, d):
-    """chunk_modality_g2 with code chunks; text chunks are those of the table here too."""
-    text = table(spark, d, "document_chunks").where("modality = 'text' and content is not null").select("document_id", F.lit("text").alias("type"), "content")
-    both = union_chunks(text, _chunks(spark, d))
+    """Texts cut at sentences, and one chunk for each image, table, code record and figure."""
+    text = chunk_sentence_g2(table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("document_id"), F.col("text").alias("content"))).withColumn("type", F.lit("text"))
+    both = union_chunks(text.select("document_id", "type", "content"), _chunks(spark, d))
     return both.groupBy("document_id", "type").agg(F.count("*").alias("n"), F.sum(F.length("content").cast("bigint")).alias("chars"))
 
 
-@query("join_enrich_lookup_all")
-def join_enrich_lookup_all(spark, d):
-    """join_enrich_lookup over all kinds, with the measures of code."""
-    out = content.join_enrich_lookup(_chunks(spark, d).select("document_id", "type", "chunk_index"), table(spark, d, IMG), table(spark, d, TAB), _code(spark, d))
-    return out.select("document_id", "type", "chunk_index", "image_dimensions", "image_size_bytes", "table_rows", "table_columns", "table_cells", F.col("found_code_type").alias("code_type"), "code_lines", "code_characters")
-
-
 @query("set_union_chunks", "select modality as type, cast(count(*) as bigint) as n from (select modality from document_chunks where modality = 'text' union all select modality from document_chunks where modality <> 'text') x group by 1")
 def set_union_chunks(spark, d):
     c = table(spark, d, "document_chunks").select("chunk_id", "modality", "content")
@@ -232,19 +211,26 @@ def set_union_chunks(spark, d):
     "join_enrich_lookup",
     f"""with c as (select * from ({_RUNNING}) x),
     i as (select document_id, image_index as chunk_index, arg_min(dims, o) as image_dimensions, arg_min(size, o) as image_size_bytes from (select document_id, image_index, coalesce(width, 0) || 'x' || coalesce(height, 0) as dims, coalesce(size_bytes, 0) as size, {{'p': coalesce(page_number, 0), 'o': {_OCR}, 'd': coalesce(width, 0) || 'x' || coalesce(height, 0), 's': coalesce(size_bytes, 0)}} as o from image_records) a group by 1, 2),
-    t as (select document_id, table_index as chunk_index, arg_min(r, o) as table_rows, arg_min(k, o) as table_columns, arg_min(n, o) as table_cells from (select document_id, table_index, coalesce(n_rows, 0) as r, coalesce(n_cols, 0) as k, coalesce(total_cells, 0) as n, {{'p': coalesce(page_number, 0), 'r': coalesce(n_rows, 0), 'k': coalesce(n_cols, 0), 'n': coalesce(total_cells, 0)}} as o from table_records) a group by 1, 2)
-    select c.document_id, type, c.chunk_index, case when type = 'image' then image_dimensions end as image_dimensions, case when type = 'image' then image_size_bytes end as image_size_bytes, cast(case when type = 'table' then table_rows end as bigint) as table_rows, cast(case when type = 'table' then table_columns end as bigint) as table_columns, cast(case when type = 'table' then table_cells end as bigint) as table_cells
-    from c left join i on i.document_id = c.document_id and i.chunk_index = c.chunk_index left join t on t.document_id = c.document_id and t.chunk_index = c.chunk_index""",
+    t as (select document_id, table_index as chunk_index, arg_min(r, o) as table_rows, arg_min(k, o) as table_columns, arg_min(n, o) as table_cells from (select document_id, table_index, coalesce(n_rows, 0) as r, coalesce(n_cols, 0) as k, coalesce(total_cells, 0) as n, {{'p': coalesce(page_number, 0), 'r': coalesce(n_rows, 0), 'k': coalesce(n_cols, 0), 'n': coalesce(total_cells, 0)}} as o from table_records) a group by 1, 2),
+    o as (select document_id, item_index as chunk_index, min({{'p': page_number, 't': code_type, 'l': lines, 'c': characters}}) as m from {_CODE} a group by 1, 2)
+    select c.document_id, type, c.chunk_index, case when type = 'image' then image_dimensions end as image_dimensions, case when type = 'image' then image_size_bytes end as image_size_bytes, cast(case when type = 'table' then table_rows end as bigint) as table_rows, cast(case when type = 'table' then table_columns end as bigint) as table_columns, cast(case when type = 'table' then table_cells end as bigint) as table_cells,
+    case when type = 'code' then o.m.t end as code_type, cast(case when type = 'code' then o.m.l end as bigint) as code_lines, cast(case when type = 'code' then o.m.c end as bigint) as code_characters
+    from c left join i on i.document_id = c.document_id and i.chunk_index = c.chunk_index left join t on t.document_id = c.document_id and t.chunk_index = c.chunk_index left join o on o.document_id = c.document_id and o.chunk_index = c.chunk_index""",
 )
 def join_enrich_lookup(spark, d):
-    code = _code(spark, d).limit(0)
-    out = content.join_enrich_lookup(_without_code(spark, d).select("document_id", "type", "chunk_index"), table(spark, d, IMG), table(spark, d, TAB), code)
-    return out.select("document_id", "type", "chunk_index", "image_dimensions", "image_size_bytes", "table_rows", "table_columns", "table_cells")
+    out = content.join_enrich_lookup(_chunks(spark, d).select("document_id", "type", "chunk_index"), table(spark, d, IMG), table(spark, d, TAB), _code(spark, d))
+    return out.select("document_id", "type", "chunk_index", "image_dimensions", "image_size_bytes", "table_rows", "table_columns", "table_cells", F.col("found_code_type").alias("code_type"), "code_lines", "code_characters")
 
 
-@query("emb_text_select", f"select document_id, page_number, item_index, type, case when content <> '' then content when type = 'image' then 'Image with dimensions ' || width || 'x' || height when type = 'figure' then figure_type || ' figure with dimensions ' || width || 'x' || height else '' end as text from (select document_id, coalesce(page_number, 0) as page_number, coalesce(image_index, 0) as item_index, 'image' as type, coalesce(extracted_text, '') as content, coalesce(width, 0) as width, coalesce(height, 0) as height, null as figure_type from {_I} a union all select document_id, coalesce(page_number, 0), coalesce(image_index, 0), 'figure', coalesce(extracted_text, ''), coalesce(width, 0), coalesce(height, 0), {_FIGURE_TYPE} from {_I} b where {_IS_FIGURE}) x")
+_MEASURED = f"""select document_id, coalesce(page_number, 0) as page_number, coalesce(image_index, 0) as item_index, 'image' as type, coalesce(extracted_text, '') as content, 'Image with dimensions ' || coalesce(width, 0) || 'x' || coalesce(height, 0) as measures from {_I} a
+union all select document_id, coalesce(page_number, 0), coalesce(table_index, 0), 'table', {_TABLE_TEXT}, 'Table with ' || coalesce(n_rows, 0) || ' rows and ' || coalesce(n_cols, 0) || ' columns' from (select distinct * from table_records) b
+union all select document_id, page_number, item_index, 'code', content, '' from {_CODE} c
+union all select document_id, coalesce(page_number, 0), coalesce(image_index, 0), 'figure', coalesce(extracted_text, ''), {_FIGURE_TYPE} || ' figure with dimensions ' || coalesce(width, 0) || 'x' || coalesce(height, 0) from {_I} e where {_IS_FIGURE}"""
+
+
+@query("emb_text_select", f"select document_id, page_number, item_index, type, case when content <> '' then content else measures end as text from ({_MEASURED}) x")
 def emb_text_select(spark, d):
-    c = _without_code(spark, d).where("type in ('image', 'figure')")
+    c = _chunks(spark, d)
     text = content.embedding_text(F.col("type"), F.col("content"), F.col("width"), F.col("height"), F.col("rows"), F.col("columns"), F.col("figure_type"))
     return c.select("document_id", "page_number", "item_index", "type", text.alias("text"))
 
@@ -259,21 +245,20 @@ def flt_known_type(spark, d):
     return content.known_types(table(spark, d, "document_chunks"), "modality").select("chunk_id", "type_order")
 
 
-_MD5 = f"list_transform({S.words('lower(' + S.text('content') + ')')}, lambda w: md5(w))"
+_WORDS = S.words('lower(' + S.text('content') + ')')
 
 
-@query("emb_generate", f"select chunk_id, list_transform(generate_series(0, 7), lambda i: coalesce(list_sum(list_transform(h, lambda x: case when ('0x' || substr(x, 1, 8))::bigint % 8 = i then case when substr(x, 9, 1) < '8' then 1.0 else -1.0 end else 0.0 end)), 0.0)::integer) as counts from (select chunk_id, {_MD5} as h from document_chunks where modality in ('image', 'table', 'figure')) x")
+@query(
+    "emb_generate",
+    f"""with r as (select row_number() over () as r, chunk_id, content from document_chunks where modality in ('text', 'image', 'table', 'code', 'figure')),
+    w as (select r, md5(w) as h from (select r, unnest({_WORDS}) as w from r) x),
+    b as (select r, ('0x' || substr(h, 1, 8))::bigint % 64 as i, sum(case when substr(h, 9, 1) < '8' then 1 else -1 end) as n from w group by 1, 2)
+    select chunk_id, list(coalesce(n, 0)::integer order by s.i) as counts from r cross join (select unnest(generate_series(0, 63)) as i) s left join b on b.r = r.r and b.i = s.i group by r.r, chunk_id""",
+)
 def emb_generate(spark, d):
-    """The built-in embedder in 8 dimensions, its sums before they are scaled."""
-    c = table(spark, d, "document_chunks").where("modality in ('image', 'table', 'figure')").select("chunk_id", "modality", "content")
-    return embed(c, "content", Hashing(8, unit=False), 8, kind="modality").select("chunk_id", F.transform("embedding", lambda x: x.cast("int")).alias("counts"))
-
-
-@query("emb_generate_all")
-def emb_generate_all(spark, d):
-    """The built-in embedder in its own dimension over all known types; emb_generate is the part that its SQL covers."""
-    c = table(spark, d, "document_chunks").select("chunk_id", "modality", "content")
-    return embed_hashing(c, "content", kind="modality").select("chunk_id", "modality", "embedding")
+    """The built-in embedder over all known types, its sums before they are scaled."""
+    c = content.known_types(table(spark, d, "document_chunks"), "modality").select("chunk_id", "modality", "content")
+    return embed(c, "content", Hashing(64, unit=False), 64, kind="modality").select("chunk_id", F.transform("embedding", lambda x: x.cast("int")).alias("counts"))
 
 
 # store ------------------------------------------------------------------------------------------------------------------
@@ -294,11 +279,6 @@ def prj_store_meta(spark, d):
     return s.select("document_id", "chunk_index", "modality", "length", "page_number", "embedding_model", "embedding_dimension", F.size("metadata").alias("keys"), F.col("metadata")["source"].alias("source"))
 
 
-@query("flt_meta_where", "select chunk_id from document_chunks where modality = 'code' and page_number = 1")
-def flt_meta_where(spark, d):
-    return table(spark, d, "document_chunks").where("modality = 'code' and page_number = 1").select("chunk_id")
-
-
 @query("str_docid_store", "select document_id, translate(path, '/.', '__') as store_id from processed_documents where path is not null")
 def str_docid_store(spark, d):
     return table(spark, d, "processed_documents").where("path is not null").select("document_id", files.store_id(F.col("path")).alias("store_id"))
@@ -351,21 +331,44 @@ def join_knn(spark, d):
     return _knn(spark, d, "l2", 10)
 
 
-@query("topk_knn", f"select query_id, id, cast(r as integer) as rank from (select query_id, id, row_number() over (partition by query_id order by c desc, id) as r from (select a.vec_id as query_id, b.vec_id as id, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 9) as c from {_PAIRS}) x) y where r <= 5")
+@query("topk_knn", f"select query_id, id, round(d, 6) as distance, cast(r as integer) as rank from (select query_id, id, d, row_number() over (partition by query_id order by d, id) as r from (select a.vec_id as query_id, b.vec_id as id, 1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]) as d from {_PAIRS} where a.vec_id <> b.vec_id) x) y where r <= 5")
 def topk_knn(spark, d):
-    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    """The five nearest by cosine, the query itself left out: six are looked for, so that it may be among them."""
     from pyspark.sql import Window as W
 
-    near = search.knn(e.where("id % 100 = 0"), e, 8, "cosine").withColumn("c", F.round(1 - F.col("distance"), 9))
-    return near.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("c"), "id"))).where("rank <= 5").select("query_id", "id", "rank")
+    near = _knn(spark, d, "cosine", 6).where("id <> query_id")
+    return near.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy("rank"))).where("rank <= 5")
 
 
-@query("vs_search_vector", f"select id, round(dist, 6) as distance from (select b.vec_id as id, {_L2} as dist from embeddings a join embeddings b on a.vec_id = 7 and b.label = 3 order by dist, id limit 10) x")
+@query("vs_search_vector", f"select query_id, id, round(dist, 6) as distance from (select query_id, id, dist, row_number() over (partition by query_id order by dist, id) as r from (select a.vec_id as query_id, b.vec_id as id, {_L2} as dist from {_PAIRS} where b.label = 3) x) y where r <= 10")
 def vs_search_vector(spark, d):
-    e = table(spark, d, "embeddings")
-    v = e.where("vec_id = 7").select("embedding").first()[0]
-    store = e.select(F.col("vec_id").alias("id"), F.lit(None).alias("document"), F.create_map().alias("metadata"), "embedding", "label")
-    return search.search(store, v, 10, F.col("label") == 3).select("id", F.round("distance", 6).alias("distance"))
+    """Every query vector against the rows that meet a filter."""
+    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
+    return search.knn(e.where("id % 100 = 0"), e.where("label = 3"), 10).select("query_id", "id", F.round("distance", 6).alias("distance"))
+
+
+_STORED_L2 = "list_sum(list_transform(generate_series(1, 64), lambda i: (q.embedding[i]::double - c.embedding[i]::double) ** 2))"
+
+
+@query("flt_meta_where", f"select query_id, document_id, chunk_index, page_number, distance from (select q.vec_id as query_id, c.document_id, coalesce(c.chunk_index, 0) as chunk_index, c.page_number, round({_STORED_L2}, 6) as distance, rank() over (partition by q.vec_id order by round({_STORED_L2}, 6)) as r from embeddings q join (select * from {_STORED}) c on q.vec_id = 0 where c.modality = 'code' and c.page_number = 1 and len(c.embedding) = 64 and len(list_filter(c.embedding, lambda x: x is null or isnan(x))) = 0) x where r <= 10")
+def flt_meta_where(spark, d):
+    """A search of a collection among the rows that meet conditions on their metadata; all that tie with the tenth."""
+    import uuid
+
+    from pyspark.sql import Window as W
+
+    from lectern.operators.store import Collection
+    from lectern.plans.workdir import folder
+
+    c = table(spark, d, "document_chunks").where("size(embedding) = 64 and not exists(embedding, x -> x is null or isnan(x))").withColumn("type", F.col("modality"))
+    store = Collection(spark, folder(spark), f"collection-{uuid.uuid4().hex}")
+    store.store(c)
+    vector = table(spark, d, "embeddings").where("vec_id = 0").select("embedding").first()[0]
+    meets = (F.col("modality") == "code") & (F.col("page_number") == 1)
+    near = store.search(vector, store.read().where(meets).count(), meets)
+    m = F.col("metadata")
+    rows = near.select(F.lit(0).cast("long").alias("query_id"), m["document_id"].alias("document_id"), m["chunk_index"].cast("int").alias("chunk_index"), m["page_number"].cast("int").alias("page_number"), F.round("distance", 6).alias("distance"))
+    return rows.withColumn("r", F.rank().over(W.partitionBy("query_id").orderBy("distance"))).where("r <= 10").drop("r")
 
 
 # reducers, sets -----------------------------------------------------------------------------------------------------------

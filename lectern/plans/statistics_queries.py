@@ -11,6 +11,7 @@ from lectern.operators import statistics as T
 from lectern.operators.store import store_metadata
 from lectern.plans import pipeline
 from lectern.plans import sql as S
+from lectern.plans.content_queries import _CODE, _code
 from lectern.plans.registry import query, table
 from lectern.sinks import writers
 from lectern.sources import config
@@ -269,15 +270,24 @@ def prd_validate_config(spark, d):
     return config.config_errors(row) if CONFIG else row
 
 
-@query("sink_embeddings", "select modality as embedding_type, cast(count(*) as bigint) as count, cast(max(len(embedding)) as integer) as dimension from document_chunks where embedding is not null group by 1")
+@query("sink_embeddings", "select modality as embedding_type, cast(count(*) as bigint) as count, cast(max(len(embedding)) as integer) as dimension, cast(sum(len(embedding)) as bigint) as numbers from document_chunks where embedding is not null group by 1")
 def sink_embeddings(spark, d):
-    return writers.embedding_metadata(table(spark, d, CH).withColumn("embedding_type", F.col("modality")))
+    """Vectors written by type and read back."""
+    import uuid
+
+    from lectern.plans.workdir import folder
+
+    path = f"{folder(spark)}/embeddings-{uuid.uuid4().hex}"
+    kinds = F.struct(F.col("modality").alias("embedding_type"))
+    writers.write_embeddings(table(spark, d, CH).select("chunk_id", "embedding", kinds.alias("embedding_metadata")), path)
+    back = spark.read.schema("chunk_id string, embedding array<float>, embedding_type string").parquet(path)
+    numbers = back.groupBy("embedding_type").agg(F.sum(F.size("embedding").cast("bigint")).alias("numbers"))
+    return writers.embedding_metadata(back).join(numbers, "embedding_type")
 
 
-@query("sink_extracted", "select document_id, 'table' as kind, cast(count(*) * 2 as bigint) as files from (select distinct * from table_records) t group by 1 union all select document_id, 'image', cast(count(*) as bigint) from (select distinct * from image_records) i group by 1")
+@query("sink_extracted", f"select document_id, 'table' as kind, cast(count(*) * 2 as bigint) as files from (select distinct * from table_records) t group by 1 union all select document_id, 'image', cast(count(*) as bigint) from (select distinct * from image_records) i group by 1 union all select document_id, 'code', cast(count(*) as bigint) from {_CODE} c group by 1")
 def sink_extracted(spark, d):
-    none = spark.createDataFrame([], "document_id string, page_number int, chunk_index int, content string")
-    out = writers.extracted_files(table(spark, d, IMG).distinct(), table(spark, d, TAB).distinct(), none)
+    out = writers.extracted_files(table(spark, d, IMG).distinct(), table(spark, d, TAB).distinct(), _code(spark, d))
     return out.groupBy("document_id", F.regexp_extract("file_name", "^[a-z]+", 0).alias("kind")).agg(F.count("*").alias("files"))
 
 
@@ -299,22 +309,24 @@ def sink_gallery(spark, d):
     return writers.gallery(table(spark, d, IMG))
 
 
-@query("sink_export", "select chunk_id, cast(len(embedding) as integer) as dimension, cast(length(content) as integer) as length from document_chunks where length(content) > 0")
+@query("sink_export", "select document_id, coalesce(chunk_index, 0) as chunk_index, cast(len(embedding) as integer) as dimension, cast(length(content) as integer) as length from document_chunks where length(content) > 0")
 def sink_export(spark, d):
-    """Rows as the export writes them, as JSON, read back."""
-    c = table(spark, d, CH).where(F.length("content") > 0)
-    json = c.select(F.to_json(F.struct(F.col("chunk_id").alias("id"), F.col("content").alias("document"), F.size("embedding").alias("dimension"))).alias("j"))
-    back = json.select(F.from_json("j", "id string, document string, dimension int").alias("x"))
-    return back.select(F.col("x.id").alias("chunk_id"), F.when(F.col("x.dimension") >= 0, F.col("x.dimension")).alias("dimension"), F.length("x.document").alias("length"))
+    """A collection's rows as its export writes them, read back."""
+    store = _collection(spark, d)
+    path = f"{store.path}-export"
+    store.export(path)
+    back = spark.read.schema("id string, document string, metadata map<string,string>, embedding array<string>").json(path)
+    m = F.col("metadata")
+    return back.select(m["document_id"].alias("document_id"), m["chunk_index"].cast("int").alias("chunk_index"), F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("dimension"), F.length("document").alias("length"))
 
 
-@query("sink_charts", "select document_id, images, tables from (select coalesce(a.document_id, b.document_id) as document_id, coalesce(i, 0) as images, coalesce(t, 0) as tables from (select document_id, cast(count(*) as bigint) as i from image_records group by 1) a full join (select document_id, cast(count(*) as bigint) as t from table_records group by 1) b on a.document_id = b.document_id) x order by document_id limit 20")
+@query("sink_charts", "select coalesce(a.document_id, b.document_id) as document_id, coalesce(i, 0) as images, coalesce(t, 0) as tables from (select document_id, cast(count(*) as bigint) as i from image_records group by 1) a full join (select document_id, cast(count(*) as bigint) as t from table_records group by 1) b on a.document_id = b.document_id")
 def sink_charts(spark, d):
-    """Data of the heat map: the first 20 documents with their images and tables."""
+    """Data of the heat map: every document with its images and tables."""
     from lectern.operators.merge import full_outer_counts
 
     n = lambda t, c: table(spark, d, t).groupBy("document_id").agg(F.count("*").alias(c))
-    return full_outer_counts(n(IMG, "images"), n(TAB, "tables"), "document_id", "images", "tables").orderBy("document_id").limit(20)
+    return full_outer_counts(n(IMG, "images"), n(TAB, "tables"), "document_id", "images", "tables")
 
 
 @query("node_status", "select 'process' as node, count(*) > 0 as success from document_chunks union all select 'embed', count(embedding) > 0 from document_chunks")

@@ -137,13 +137,30 @@ def str_figure_kind(spark, d):
 
 # code -------------------------------------------------------------------------------------------------------------
 
-_CODE_ROWS = "select chunk_id as k, coalesce(content, '') as t from (select distinct chunk_id, content from document_chunks) x"
+# the table's texts, and each with fenced and inline code after it
+_FENCED = "x\n```python\nprint(1)\n```\nthen `a` and `b c`\n```\n`in` a fence\n```"
+_FENCED_SQL = S.quoted(_FENCED).replace("\n", "' || chr(10) || '")
+_CODE_ROWS = f"select chunk_id as k, coalesce(content, '') || chr(10) || {_FENCED_SQL} as t from (select distinct chunk_id, content from document_chunks) x"
 _RULE = "case " + " ".join(f"when {S.has('s', p)} then {k}" for k, p in enumerate(detect.CODE_LIKE)) + " end"
-_LIKE = f"select k, i + 1 as line_number, s, {_RULE} as rule from (select k, i, {S.strip('l')} as s from (select k, unnest(generate_series(0, len({S.lines('t')}) - 1)) as i, unnest({S.lines('t')}) as l from ({_CODE_ROWS}) a) b) c where s <> ''"
+
+
+def _like(rows: str) -> str:
+    return f"select k, i + 1 as line_number, s, {_RULE} as rule from (select k, i, {S.strip('l')} as s from (select k, unnest(generate_series(0, len({S.lines('t')}) - 1)) as i, unnest({S.lines('t')}) as l from ({rows}) a) b) c where s <> ''"
+
+
+def code_sql(rows: str) -> str:
+    """(k, chunk_index, type, content, lines, characters, code_type): the code records of rows (k, t)."""
+    return f"""with a as ({rows}),
+    b as (select k, 1 as o, i, t from (select k, unnest(generate_series(1, len(x))) as i, unnest(x) as t from (select k, regexp_extract_all(t, '```[\\s\\S]*?```') as x from a) y) z
+    union all select k, 2, i, t from (select k, unnest(generate_series(1, len(x))) as i, unnest(x) as t from (select k, regexp_extract_all(t, '`([^`]+)`', 1) as x from a) y) z),
+    l as (select k, 3 as o, 1 as i, string_agg(s, chr(10) order by line_number) as t, count(*) as n, sum(length(s)) as c from ({_like(rows)}) x where rule is not null group by k),
+    u as (select k, o, i, t, len({S.lines('t')}) as n, length(t) as c from b union all select k, o, i, t, n, c from l)
+    select k, cast(row_number() over (partition by k order by o, i) as integer) as chunk_index, case o when 1 then 'markdown_code_block' when 2 then 'inline_code' else 'code_like_lines' end as type, t as content, cast(n as integer) as lines, cast(c as integer) as characters, case o when 3 then 'pattern_matched' else 'structured' end as code_type from u"""
 
 
 def _pages(spark, d):
-    return table(spark, d, CHUNKS).select(F.col("chunk_id").alias("document_id"), F.coalesce("content", F.lit("")).alias("content")).distinct().withColumn("page_number", F.lit(1))
+    t = table(spark, d, CHUNKS).select(F.col("chunk_id").alias("document_id"), "content").distinct()
+    return t.select("document_id", F.concat_ws("\n", F.coalesce("content", F.lit("")), F.lit(_FENCED)).alias("content"), F.lit(1).alias("page_number"))
 
 
 @query("code_blocks", f"select k as chunk_id, b as content from (select k, unnest(regexp_extract_all(t, '```[\\s\\S]*?```')) as b from ({_CODE_ROWS}) a) x")
@@ -156,20 +173,12 @@ def code_inline(spark, d):
     return code_records(_pages(spark, d)).where("type = 'inline_code'").select(F.col("document_id").alias("chunk_id"), "content")
 
 
-@query("code_like_lines", f"select k as chunk_id, cast(line_number as integer) as line_number, s as content, cast(rule as integer) as rule from ({_LIKE}) x where rule is not null")
+@query("code_like_lines", f"select k as chunk_id, cast(line_number as integer) as line_number, s as content, cast(rule as integer) as rule from ({_like(_CODE_ROWS)}) x where rule is not null")
 def code_like_lines(spark, d):
     return code_records(_pages(spark, d)).where("type = 'code_like_lines'").select(F.col("document_id").alias("chunk_id"), F.explode("line_details").alias("x")).select("chunk_id", "x.line_number", "x.content", "x.rule")
 
 
-@query(
-    "code_extract",
-    f"""with a as ({_CODE_ROWS}),
-    b as (select k, 1 as o, i, t from (select k, unnest(generate_series(1, len(x))) as i, unnest(x) as t from (select k, regexp_extract_all(t, '```[\\s\\S]*?```') as x from a) y) z
-    union all select k, 2, i, t from (select k, unnest(generate_series(1, len(x))) as i, unnest(x) as t from (select k, regexp_extract_all(t, '`([^`]+)`', 1) as x from a) y) z),
-    l as (select k, 3 as o, 1 as i, string_agg(s, chr(10) order by line_number) as t, count(*) as n, sum(length(s)) as c from ({_LIKE}) x where rule is not null group by k),
-    u as (select k, o, i, t, len({S.lines('t')}) as n, length(t) as c from b union all select k, o, i, t, n, c from l)
-    select k as chunk_id, cast(row_number() over (partition by k order by o, i) as integer) as chunk_index, case o when 1 then 'markdown_code_block' when 2 then 'inline_code' else 'code_like_lines' end as type, t as content, cast(n as integer) as lines, cast(c as integer) as characters, case o when 3 then 'pattern_matched' else 'structured' end as code_type from u""",
-)
+@query("code_extract", f"select k as chunk_id, chunk_index, type, content, lines, characters, code_type from ({code_sql(_CODE_ROWS)}) x")
 def code_extract(spark, d):
     return code_records(_pages(spark, d)).select(F.col("document_id").alias("chunk_id"), "chunk_index", "type", "content", "lines", "characters", "code_type")
 
