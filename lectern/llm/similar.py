@@ -25,6 +25,8 @@ PER_LIST, MOST_LISTS = 400, 16_384
 #: Vectors of the sample for each list, vectors in a block of lists as the sample lets expect, and queries that one task answers from a block.
 SAMPLED, BLOCK, MOST_ASKED = 16, 8_192, 32_768
 PARTS, CODES = 16, 256
+#: Classes of several members that are known to every task; with more, they are met by a join.
+MOST_SEVERAL = 1_000_000
 #: Share of neighbours in the sample, and of made-up neighbours just similar enough, whose lists the margin must reach; a pair
 #: can be met from either side, so nine in ten of the latter are. ASKED: queries this is measured on.
 REACHED, REACHED_MADE, ASKED = 0.9995, 0.7, 2_048
@@ -189,8 +191,8 @@ class Base:
                 yield q[top], b[top], cosine[top]
 
 
-def class_neighbours(chunks: DataFrame, k: int, least: float) -> tuple[DataFrame, DataFrame]:
-    """members (chunk_id, vec_key) and neighbours (vec_key, other_key, other_id, cosine): of each class of equal vectors its k most similar classes."""
+def class_neighbours(chunks: DataFrame, k: int, least: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """members (chunk_id, vec_key), classes (vec_key, chunk_id, vec) and neighbours (vec_key, other_key, other_id, cosine): of each class of equal vectors its k most similar classes."""
     spark = chunks.sparkSession
     rows = usable(chunks)
     members = written(one_vector(rows.select("chunk_id", "modality", "vec_key")).select("chunk_id", "vec_key"), "members")
@@ -198,7 +200,7 @@ def class_neighbours(chunks: DataFrame, k: int, least: float) -> tuple[DataFrame
     n = classes.count()
     sample = fit_sample(classes, n, max(MOST_FITTED, SAMPLED * n_lists(n)))
     if not len(sample):
-        return members, spark.createDataFrame([], "vec_key long, other_key long, other_id string, cosine double")
+        return members, classes, spark.createDataFrame([], "vec_key long, other_key long, other_id string, cosine double")
     shared = spark.sparkContext.broadcast(Index(sample, n, k, least))  # MOST_LISTS centroids at most
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +220,7 @@ def class_neighbours(chunks: DataFrame, k: int, least: float) -> tuple[DataFrame
     best = W.partitionBy("vec_key").orderBy(F.desc("cosine"), "other_id", "other_key")
     # should a pair come twice, its rows share a rank, so one can go after the shuffle that ranks them
     found = found.drop("vec_id").unionByName(back).withColumn("r", F.dense_rank().over(best)).where(F.col("r") <= k)
-    return members, found.dropDuplicates(["vec_key", "other_key"]).drop("r")
+    return members, classes, written(found.dropDuplicates(["vec_key", "other_key"]).drop("r"), "class_neighbours")
 
 
 def answered(placed: DataFrame, shared, asked: dict[int, int], k: int, least: float) -> DataFrame:
@@ -239,9 +241,11 @@ def answered(placed: DataFrame, shared, asked: dict[int, int], k: int, least: fl
                     own = where[v][int(key[i] % len(where[v]))]
                     for c in where[v] if v == b else (own,):  # as one of the block's vectors it is in each copy
                         row.append(i), slot.append(c), role.append(int(v != b)), asks.append(c == own)
-            columns = [batch.column(c).take(pa.array(row, pa.int64())) for c in ("vec_key", "chunk_id", "vec", "list", "own")]
-            columns.append(batch.column("code").take(pa.array(row, pa.int64(), mask=np.array(role, bool))))  # codes are for the base
-            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int32()) for x in (slot, role)), pa.array(asks, pa.bool_()), *columns], names=["slot", "role", "asks", "vec_key", "chunk_id", "vec", "list", "own", "code"])
+            row, role = np.array(row, np.int64), np.array(role, np.int32)
+            data = packed(matrix(batch.column("vec"))[row], batch.column("own").to_numpy()[row], batch.column("list").to_numpy()[row], np.array(asks, bool))
+            code = batch.column("code").take(pa.array(row, mask=role == 1))  # codes are for the base
+            key = pa.array(np.array(slot, np.int32) << 1 | role)
+            yield pa.RecordBatch.from_arrays([key, batch.column("vec_key").take(pa.array(row)), batch.column("chunk_id").take(pa.array(row)), data, code], names=["key", "vec_key", "chunk_id", "data", "code"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, kept, base = None, [], None
@@ -262,8 +266,10 @@ def answered(placed: DataFrame, shared, asked: dict[int, int], k: int, least: fl
                 yield from ask(mine.slice(at, 1024))
 
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            code = t.column("slot").to_numpy().astype(np.int64) << 1 | t.column("role").to_numpy()
+            code = batch.column("key").to_numpy()
+            vec, own, lists, asks = unpacked(batch.column("data"))
+            columns = [batch.column("vec_key"), batch.column("chunk_id"), vec, own, lists, asks, batch.column("code")]
+            t = pa.Table.from_arrays(columns, names=["vec_key", "chunk_id", "vec", "own", "list", "asks", "code"])
             cuts = np.flatnonzero(np.diff(code)) + 1 if len(code) else []
             for lo, hi in zip([0, *cuts], [*cuts, len(code)]):
                 if lo == hi:
@@ -284,11 +290,29 @@ def answered(placed: DataFrame, shared, asked: dict[int, int], k: int, least: fl
         if kept:
             yield from settled()
 
-    sent = "slot int, role int, asks boolean, vec_key long, chunk_id string, vec binary, list int, own float, code binary"
-    each = placed.mapInArrow(send, sent).repartition(tasks, "slot").sortWithinPartitions("slot", "role")
+    sent = "key int, vec_key long, chunk_id string, data binary, code binary"
+    each = placed.mapInArrow(send, sent).repartition(tasks, F.shiftright("key", 1)).sortWithinPartitions("key")
     return written(each.mapInArrow(search, "vec_key long, vec_id string, other_key long, other_id string, cosine double"), "neighbours")
 
 
+#: A row's vector, its similarity to its own centroid, its list, and whether it asks in this task, in one field.
+PACKED = np.dtype([("vec", np.float32, DIMENSION), ("own", np.float32), ("list", np.int32), ("asks", np.bool_)])
+
+
+def packed(vec: np.ndarray, own: np.ndarray, lists: np.ndarray, asks: np.ndarray) -> pa.Array:
+    rows = np.empty(len(vec), PACKED)
+    rows["vec"], rows["own"], rows["list"], rows["asks"] = vec, own, lists, asks
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * PACKED.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows.tobytes())])
+
+
+def unpacked(data: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array, pa.Array]:
+    rows = np.frombuffer(b"".join(data.to_pylist()), PACKED)
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * 4 * DIMENSION
+    vec = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows["vec"]).tobytes())])
+    return vec, pa.array(np.ascontiguousarray(rows["own"])), pa.array(np.ascontiguousarray(rows["list"])), pa.array(np.ascontiguousarray(rows["asks"]))
+
+
 def most_similar(chunks: DataFrame, k: int = 10, least: float = 0.85) -> DataFrame:
     """(chunk_id, other_id, cosine, rank): for each chunk_id with a usable embedding its k most similar other chunks with a cosine of at least `least`.
 
@@ -296,12 +320,18 @@ def most_similar(chunks: DataFrame, k: int = 10, least: float = 0.85) -> DataFra
     exact; of the neighbours a share of about one in a thousand can be missing (see the README). Null chunk_ids and embeddings that are null, empty, of another length, all zero or not finite give
     nothing. Other columns aren't read.
     """
-    members, near = class_neighbours(chunks, k, least)
+    members, classes, near = class_neighbours(chunks, k, least)
     order = W.partitionBy("vec_key").orderBy("chunk_id")
-    heads = members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1).select("vec_key", F.col("chunk_id").alias("other_id"))
-    several = members.groupBy("vec_key").agg(F.count("*").alias("n")).where("n > 1").select("vec_key")
-    own = heads.join(several, "vec_key").withColumn("cosine", F.lit(1.0))
-    across = near.select("vec_key", F.col("other_key"), "cosine").join(heads.withColumnRenamed("vec_key", "other_key"), "other_key").select("vec_key", "other_id", "cosine")
+    counted = members.groupBy("vec_key").agg(F.count("*").alias("n"), F.min("chunk_id").alias("first"))
+    several = written(counted.join(classes.select("vec_key", "chunk_id"), "vec_key", "right").where("coalesce(n, 0) <> 1 or first <> chunk_id").select("vec_key"), "several")
+    heads = members.join(several, "vec_key").withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1).select("vec_key", F.col("chunk_id").alias("other_id"))
+    own = heads.withColumn("cosine", F.lit(1.0))
+    # a class with one member is that member; the others have more, or another name
+    near = near.select("vec_key", "other_key", "other_id", "cosine")
+    held = F.broadcast(several) if several.count() <= MOST_SEVERAL else several
+    alone = near.join(held.withColumnRenamed("vec_key", "other_key"), "other_key", "left_anti").select("vec_key", "other_id", "cosine")
+    more = near.drop("other_id").join(held.withColumnRenamed("vec_key", "other_key"), "other_key").join(heads.withColumnRenamed("vec_key", "other_key"), "other_key").select("vec_key", "other_id", "cosine")
+    across = alone.unionByName(more)
     best = W.partitionBy("vec_key").orderBy(F.desc("cosine"), "other_id")
     # one more than k, since a chunk may be among the heads of its own class
     top = own.unionByName(across).withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
