@@ -88,29 +88,36 @@ class Collection:
         hadoop.FileContext.getFileContext(new.toUri() if new.isAbsolute() and new.toUri().getScheme() else self._fs.getUri(), self.spark._jsc.hadoopConfiguration()).rename(new, self._hadoop(f"{self.path}/current.json"), how)
 
     def read(self) -> DataFrame:
-        parts = self.parts()
+        return self._scan(self.parts()).drop("part")
+
+    def _scan(self, parts: list[str]) -> DataFrame:
+        """One scan of all parts, with the part of each row."""
+        schema = f"{SCHEMA}, part string"
         if not parts:
-            return self.spark.createDataFrame([], SCHEMA)
-        return self._union(parts)
-
-    def _union(self, parts: list[str]) -> DataFrame:
-        one = lambda p: self.spark.read.schema(SCHEMA).option("basePath", p).parquet(p)
-        out = one(parts[0])
-        for p in parts[1:]:
-            out = out.unionByName(one(p))
-        return out
-
-    def _write(self, rows: DataFrame) -> str:
-        path = f"{self.path}/part-{uuid.uuid4().hex}"
-        rows.write.partitionBy("modality").parquet(path)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*parts)
+
+    def _write(self, rows: DataFrame, name: str | None = None) -> str:
+        path = f"{self.path}/part={name or uuid.uuid4().hex}"
+        rows.write.mode("overwrite").partitionBy("modality").parquet(path)
         return path
 
-    def store(self, chunks: DataFrame) -> dict:
-        """Appends chunks with content; returns their number and kinds. A second store of the same chunks stores them again."""
-        path = self._write(store_metadata(chunks))
-        added = self.spark.read.schema(SCHEMA).parquet(path)
+    def has(self, part: str) -> bool:
+        """Whether a part of this name is stored."""
+        return f"{self.path}/part={part}" in self.parts()
+
+    def store(self, chunks: DataFrame, part: str | None = None) -> dict:
+        """Appends chunks with content; returns their number and kinds. A second store of the same chunks stores them again.
+
+        Under a name, a part is stored once: if it is there already, nothing is done; if an earlier attempt broke off
+        before the part was pointed to, its files are replaced.
+        """
+        path = None
+        if part is None or not self.has(part):
+            path = self._write(store_metadata(chunks), part)
+        added = self._scan([path or f"{self.path}/part={part}"])
         row = added.agg(F.count("*").alias("n"), F.array_sort(F.collect_set("embedding_type")).alias("e"), F.array_sort(F.collect_set("chunk_type")).alias("c")).first()
-        if row.n:
+        if row.n and path:
             self._point([*self.parts(), path])
         return {"stored_chunks": row.n, "collection_name": self.name, "embedding_types": row.e, "chunk_types": row.c}
 
@@ -119,12 +126,14 @@ class Collection:
         return {"success": True, "collection_name": self.name}
 
     def delete_document(self, document_id: str) -> int:
-        """Deletes a document's rows by writing the others anew; returns how many there were."""
-        rows = self.read()
-        n = rows.where(F.col("document_id") == document_id).count()
-        if n:
-            self._point([self._write(rows.where(~F.col("document_id").eqNullSafe(document_id)))])
-        return n
+        """Deletes a document's rows by writing the others of the parts that hold them anew; returns how many there were."""
+        parts = self.parts()
+        held = self._scan(parts).where(F.col("document_id") == document_id).groupBy("part").count().collect()  # a row for each part
+        touched = [p for p in parts if p.rpartition("=")[2] in {r["part"] for r in held}]
+        if touched:
+            rest = self._scan(touched).where(~F.col("document_id").eqNullSafe(document_id)).drop("part")
+            self._point([*(p for p in parts if p not in touched), self._write(rest)])
+        return sum(r["count"] for r in held)
 
     def search(self, vector: list[float], k: int = 10, where: Column | None = None, metric: str = "l2") -> DataFrame:
         return search(self.read(), vector, k, where, metric)

@@ -8,7 +8,7 @@ from lectern.functions import detect
 from lectern.functions.text import SPACE
 from lectern.operators import content, search
 from lectern.operators.chunking import chunk_sentence_g2
-from lectern.operators.embedding import Hashing, embed
+from lectern.operators.embedding import Hashing, embed, embed_hashing
 from lectern.operators.merge import dict_merge, first_value, full_outer_counts, list_merge, union_chunks, union_keys
 from lectern.operators.statistics import file_ordinals, preview
 from lectern.operators.store import store_metadata
@@ -261,6 +261,13 @@ def emb_generate(spark, d):
     return embed(c, "content", Hashing(64, unit=False), 64, kind="modality").select("chunk_id", F.transform("embedding", lambda x: x.cast("int")).alias("counts"))
 
 
+@query("emb_generate_all")
+def emb_generate_all(spark, d):
+    """The built-in embedder's vectors as they are stored, scaled to length 1; emb_generate has the sums."""
+    c = table(spark, d, "document_chunks").select("chunk_id", "modality", "content")
+    return embed_hashing(c, "content", kind="modality").select("chunk_id", "modality", "embedding")
+
+
 # store ------------------------------------------------------------------------------------------------------------------
 
 _STORED = "document_chunks where length(content) > 0"

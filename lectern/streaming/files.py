@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,15 +30,23 @@ def windowed_counts(events: DataFrame, time: str = "ingested_at", late: str = "1
     return w.agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), by, "n")
 
 
+@dataclass
+class Numbered:
+    """A collection in which whatever is stored is one part with a name."""
+
+    collection: Collection
+    part: str
+
+    def store(self, chunks: DataFrame) -> dict:
+        return self.collection.store(chunks, self.part)
+
+
 def store_stream(documents: DataFrame, pipeline: Pipeline, collection: Collection, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Runs the pipeline on each batch and appends to the collection. A batch that is done again is stored once: its parts carry the batch's number."""
+    """Runs the pipeline on each batch and appends to the collection. A batch that is done again is stored once: its part carries the batch's number."""
 
     def batch(df: DataFrame, number: int) -> None:
-        done = f"{collection.path}/batch-{number}"
-        fs, path = collection._fs, collection._hadoop(done)
-        if not fs.exists(path):
-            pipeline.run(df, collection=collection)
-            fs.create(path, True).close()
+        if not collection.has(part := f"batch-{number}"):
+            pipeline.run(df, collection=Numbered(collection, part))
 
     writer = documents.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -8,7 +8,7 @@ from lectern import errors as E
 from lectern.operators import content, merge, search
 from lectern.operators import statistics as T
 from lectern.operators.embedding import Hashing, choose_device, embed, embed_hashing
-from lectern.operators.store import Collection
+from lectern.operators.store import Collection, store_metadata
 from lectern.plans.pipeline import Pipeline
 from lectern.schemas import IMAGE_RECORD, TABLE_RECORD
 from lectern.sinks import writers
@@ -254,8 +254,24 @@ def test_content_queries_with_code(spark, tmp_path):
         (df if name == "image_records" else df.limit(0)).write.parquet(f"{tmp_path}/{name}.parquet")
     rows = [("c", "d", 1, "code", "`one` and `three`"), ("t", "d", 1, "text", "words")]
     spark.createDataFrame(rows, "chunk_id string, document_id string, page_number int, modality string, content string").write.parquet(f"{tmp_path}/document_chunks.parquet")
+    spark.createDataFrame([(7, "words")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     run = lambda name: QUERIES[name](spark, str(tmp_path)).collect()
-    assert [r.chunk_index for r in run("prj_content_figure_all")] == [3]  # after an image and two code chunks
-    assert {r.type: (r.n, r.chars) for r in run("chunk_modality_g2_all") if r.type in ("code", "text")} == {"code": (2, 8), "text": (1, 5)}
-    got = {r.chunk_index: r for r in run("join_enrich_lookup_all") if r.type == "code"}
+    assert [r.chunk_index for r in run("prj_content_figure")] == [3]  # after an image and two code chunks
+    assert {r.type: (r.n, r.chars) for r in run("chunk_modality_g2") if r.type in ("code", "text")} == {"code": (2, 8), "text": (1, 5)}
+    got = {r.chunk_index: r for r in run("join_enrich_lookup") if r.type == "code"}
     assert set(got) == {1, 2} and (got[2].code_type, got[2].code_lines, got[2].code_characters) == ("inline_code", 1, 5)
+
+
+def test_named_parts_and_deletion_by_part(spark, tmp_path):
+    store = Collection(spark, f"file://{tmp_path}", "named")
+    rows = lambda *ids: spark.createDataFrame([(d, f"text of {d}", "text") for d in ids], "document_id string, content string, modality string")
+    store._write(store_metadata(rows("lost")), "batch-0")  # an attempt that broke off before the part was pointed to
+    assert store.read().count() == 0 and not store.has("batch-0")
+    for _ in range(2):
+        assert store.store(rows("a", "b"), "batch-0")["stored_chunks"] == 2
+    store.store(rows("c"), "batch-1")
+    assert sorted(r.document_id for r in store.read().collect()) == ["a", "b", "c"] and "part" not in store.read().columns
+    kept = [p for p in store.parts() if p.endswith("batch-1")]
+    assert store.delete_document("a") == 1 and store.delete_document("nobody") == 0
+    assert sorted(r.document_id for r in store.read().collect()) == ["b", "c"] and kept[0] in store.parts() and len(store.parts()) == 2
+    assert store.read()._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
