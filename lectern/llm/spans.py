@@ -3,9 +3,10 @@
 Relative Lempel-Ziv parsing against reference blocks, arranged so that a text is parsed only against blocks that can
 hold a factor of the least length. Every window of that length has an anchor, the least hash of its k-grams; stretches of
 windows with one anchor form a segment. A reference block holds the distinct segments of one anchor, so equal windows
-always meet in one block. Within a block each segment is factored greedily: a factor is the longest continuation of one
-source in another document, compared character by character; factors are joined across block and factor boundaries.
-Texts travel once for each distinct segment, whatever the number of copies; blocks beyond a bound go window by window.
+always meet in one block. Within a block equal windows are found by hash and joined to factors, runs along one source in
+another document, which are compared character by character; factors are joined across block and factor boundaries.
+Two cases rest on hashes alone: an anchor's only segment on a 64-bit key of its content, and blocks beyond a bound, which
+go window by window, on two hashes of 64 bits. Texts travel once for each distinct segment, whatever the number of copies.
 """
 
 from __future__ import annotations
