@@ -4,8 +4,10 @@ An inverted file: every vector has one list, that of its nearest coarse centroid
 product-quantised code. Every vector is a query too and probes the lists whose centroids it is nearly as near to as to
 its own; how nearly is measured on the sample, and no number of lists is fixed. A probed list is screened by asymmetric
 distance tables, which need its codes only; what passes is reranked with exact cosines in double precision. Lists that lie
-near each other form blocks, so that a query travels once for each block it probes. Equal vectors are one class; of a
-class its least chunk_ids stand for all of them.
+near each other form blocks, so that a query travels once for each block it probes. To other blocks than its own it travels
+in 8 bits a number with the length of what that leaves out, by which every cosine there is known to lie between two bounds;
+the pairs that may be among the k best by these bounds are few, and only their whole vectors are joined and compared. Equal
+vectors are one class; of a class its least chunk_ids stand for all of them.
 """
 
 from __future__ import annotations
@@ -18,12 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.llm.common import one_each, table, written
+from lectern.llm.common import one_each, passing, table, written
 from lectern.llm.vectors import DIMENSION, MOST_FITTED, fit_sample, kmeans, kmeans_tree, matrix, one_vector, unit, usable
 
 PER_LIST, MOST_LISTS = 400, 16_384
 #: Vectors of the sample for each list, vectors in a block of lists as the sample lets expect, and queries that one task answers from a block.
-SAMPLED, BLOCK, MOST_ASKED = 16, 8_192, 32_768
+SAMPLED, BLOCK, MOST_ASKED = 16, 8_192, 262_144
 PARTS, CODES = 16, 256
 #: Classes of several members that are known to every task; with more, they are met by a join.
 MOST_SEVERAL = 1_000_000
@@ -161,20 +163,23 @@ class Base:
         similar = np.einsum("ij,ij->i", self.exact[rows], self.index.centroids[lists])
         return similar >= self.own[rows] - self.index.margin + 1e-5
 
-    def near(self, raw: np.ndarray, own: np.ndarray, keys: np.ndarray, k: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(query, base row, cosine) of the up to k best of each list a query probes; own: its similarity to its own centroid."""
+    def near(self, raw: np.ndarray, own: np.ndarray, keys: np.ndarray, k: int, least: float, error: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(query, base row, cosine) of the up to k best of each list a query probes; own: its similarity to its own centroid.
+
+        error: raw are near the unit vectors of the queries, so far at most; cosines are as uncertain, and all that may be among the k best come.
+        """
         ix = self.index
-        exact = unit(raw)
+        exact, off = (unit(raw), np.zeros(len(raw))) if error is None else (raw, error)
         x = exact.astype(np.float32)
         s = x @ ix.centroids[self.lists].T
-        probes = s >= own[:, None] - ix.margin - 1e-6
+        probes = s >= (own - ix.margin - 1e-6 - off)[:, None]
         for j in np.flatnonzero(probes.any(0)).tolist():
             ask, lo, hi = np.flatnonzero(probes[:, j]), self.first[j], self.end[j]
             close = ix.codes.products(x[ask], self.codes[lo:hi]) + s[ask, j]
-            least_close = np.full(len(ask), least - ix.slack, np.float32)
+            least_close = (least - ix.slack - off[ask]).astype(np.float32)
             if hi - lo > k and np.count_nonzero(close >= least_close) > 4 * k * len(ask):
                 # many are similar enough: one that may be among the k best is no further off than the k-th by twice the slack
-                least_close = np.maximum(least_close, np.partition(close, hi - lo - k - 1, axis=0)[hi - lo - k - 1] - 2 * ix.slack)
+                least_close = np.maximum(least_close, np.partition(close, hi - lo - k - 1, axis=0)[hi - lo - k - 1] - 2 * (ix.slack + off[ask]))
             b, q = np.nonzero(close >= least_close)
             b, q = b + lo, ask[q]
             other = self.key[b] != keys[q]
@@ -182,17 +187,27 @@ class Base:
             cosine = np.empty(len(q))
             for at in range(0, len(q), 1 << 16):
                 cosine[at : at + (1 << 16)] = np.einsum("ij,ij->i", exact[q[at : at + (1 << 16)]], self.exact[b[at : at + (1 << 16)]])
-            ok = cosine >= least - 1e-12
-            b, q, cosine = b[ok], q[ok], np.round(cosine[ok], 6)
+            ok = cosine >= least - 1e-12 - off[q]
+            b, q, cosine = b[ok], q[ok], cosine[ok]
+            if error is None:
+                cosine = np.round(cosine, 6)
             order = np.lexsort((self.rank[b], -cosine, q))
             b, q, cosine = b[order], q[order], cosine[order]
-            top = np.arange(len(q)) - np.searchsorted(q, q) < k
+            top = among_best(q, cosine, off[q], k)
             if top.any():
                 yield q[top], b[top], cosine[top]
 
 
+def among_best(q: np.ndarray, cosine: np.ndarray, off: np.ndarray, k: int) -> np.ndarray:
+    """Which rows, sorted by query and falling cosine, are among the k best of their query or, by what they may be off, may be."""
+    first = np.searchsorted(q, q)
+    last = np.minimum(first + k - 1, len(q) - 1)
+    worst = np.where(q[last] == q, cosine[last], -2.0) if len(q) else cosine
+    return (np.arange(len(q)) - first < k) | (off > 0) & (cosine + 2 * off >= worst)
+
+
 def class_neighbours(chunks: DataFrame, k: int, least: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """members (chunk_id, vec_key), classes (vec_key, chunk_id, vec) and neighbours (vec_key, other_key, other_id, cosine): of each class of equal vectors its k most similar classes."""
+    """members (chunk_id, vec_key), classes (vec_key, chunk_id, vec) and neighbours (vec_key, other_key, other_id, cosine): of each class of equal vectors its k most similar classes, and others that are similar enough."""
     spark = chunks.sparkSession
     rows = usable(chunks)
     members = written(one_vector(rows.select("chunk_id", "modality", "vec_key")).select("chunk_id", "vec_key"), "members")
@@ -216,15 +231,39 @@ def class_neighbours(chunks: DataFrame, k: int, least: float) -> tuple[DataFrame
     asked = dict(placed.select(F.explode("visits").alias("block")).groupBy("block").count().collect())  # a row for each block, MOST_LISTS at most
     found = answered(placed, shared, asked, k, least)
     # a pair that only one of the two can meet counts for the other
-    back = found.where("vec_id is not null").select(F.col("other_key").alias("vec_key"), F.col("vec_key").alias("other_key"), F.col("vec_id").alias("other_id"), "cosine")
-    best = W.partitionBy("vec_key").orderBy(F.desc("cosine"), "other_id", "other_key")
-    # should a pair come twice, its rows share a rank, so one can go after the shuffle that ranks them
-    found = found.drop("vec_id").unionByName(back).withColumn("r", F.dense_rank().over(best)).where(F.col("r") <= k)
-    return members, classes, written(found.dropDuplicates(["vec_key", "other_key"]).drop("r"), "class_neighbours")
+    back = found.where("mirrored").select(F.col("other_key").alias("vec_key"), F.col("vec_key").alias("other_key"), F.col("vec_id").alias("other_id"), "cosine", "error")
+    each = found.drop("vec_id", "mirrored").unionByName(back).repartition("vec_key").groupBy("vec_key", "other_key")
+    each = each.agg(F.min("other_id").alias("other_id"), F.max(F.col("cosine") - F.col("error")).alias("low"), F.min(F.col("cosine") + F.col("error")).alias("high"))
+    mine = W.partitionBy("vec_key")
+    ranked = each.withColumn("r", F.row_number().over(mine.orderBy(F.desc("low"), "other_id", "other_key"))).withColumn("worst", F.max(F.when(F.col("r") == k, F.col("low"))).over(mine))
+    ranked = written(ranked.where((F.col("r") <= k) | F.col("other_id").isNull() & (F.coalesce("worst", F.lit(-2.0)) <= F.col("high"))).select("vec_key", "other_key", "other_id", F.col("low").alias("cosine")), "ranked")
+    return members, classes, ranked.where("other_id is not null").unionByName(compared(ranked.where("other_id is null"), placed, least))
+
+
+def compared(pairs: DataFrame, placed: DataFrame, least: float) -> DataFrame:
+    """(vec_key, other_key, other_id, cosine) of pairs (vec_key, other_key), from either side, where they are similar enough."""
+    pairs = written(pairs.select(F.least("vec_key", "other_key").alias("a"), F.greatest("vec_key", "other_key").alias("b")).distinct(), "pairs")
+    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    whole = written(passing(placed.select("vec_key", "chunk_id", "vec"), F.col("vec_key"), keys), "whole")
+    a, b = (whole.select(*(F.col(c).alias(n) for c, n in (("vec_key", side), ("chunk_id", f"{side}_id"), ("vec", f"{side}_vec")))) for side in "ab")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cosine = np.einsum("ij,ij->i", unit(matrix(batch.column("a_vec"))), unit(matrix(batch.column("b_vec")))) if batch.num_rows else np.empty(0)
+            ok = pa.array(cosine >= least - 1e-12)
+            cosine = pa.array(np.round(cosine, 6))
+            for one, other in ("ab", "ba"):
+                yield pa.RecordBatch.from_arrays([batch.column(one), batch.column(other), batch.column(f"{other}_id"), cosine], names=["vec_key", "other_key", "other_id", "cosine"]).filter(ok)
+
+    return written(pairs.join(a, "a").join(b, "b").mapInArrow(run, "vec_key long, other_key long, other_id string, cosine double"), "compared")
 
 
 def answered(placed: DataFrame, shared, asked: dict[int, int], k: int, least: float) -> DataFrame:
-    """(vec_key, vec_id, other_key, other_id, cosine): the best of each list that a vector probes; vec_id where the other doesn't probe the vector's list. A block that many ask is copied, and its queries are shared out among the copies."""
+    """(vec_key, vec_id, other_key, other_id, cosine, error, mirrored): the best of each block that a vector probes; mirrored where the other doesn't probe the vector's list.
+
+    error: how far the cosine may be off; 0 within a block. Only there mirrored pairs have vec_id and all have other_id.
+    A block that many ask is copied, and its queries are shared out among the copies.
+    """
     spark = placed.sparkSession
     many = {b: -(-n // MOST_ASKED) for b, n in asked.items()}
     places = iter(one_each(spark, tasks := max(1, sum(many.values()))).tolist())
@@ -235,26 +274,42 @@ def answered(placed: DataFrame, shared, asked: dict[int, int], k: int, least: fl
         home, where = shared.value.block, slots.value
         for batch in batches:
             key, mine, visits = batch.column("vec_key").to_numpy(), home[batch.column("list").to_numpy()], batch.column("visits").to_pylist()
-            row, slot, role, asks = [], [], [], []
+            (row, slot, asks), (guest, to) = ([], [], []), ([], [])
             for i, (b, at) in enumerate(zip(mine.tolist(), visits)):
                 for v in at:
                     own = where[v][int(key[i] % len(where[v]))]
-                    for c in where[v] if v == b else (own,):  # as one of the block's vectors it is in each copy
-                        row.append(i), slot.append(c), role.append(int(v != b)), asks.append(c == own)
-            row, role = np.array(row, np.int64), np.array(role, np.int32)
-            data = packed(matrix(batch.column("vec"))[row], batch.column("own").to_numpy()[row], batch.column("list").to_numpy()[row], np.array(asks, bool))
-            code = batch.column("code").take(pa.array(row, mask=role == 1))  # codes are for the base
-            key = pa.array(np.array(slot, np.int32) << 1 | role)
-            yield pa.RecordBatch.from_arrays([key, batch.column("vec_key").take(pa.array(row)), batch.column("chunk_id").take(pa.array(row)), data, code], names=["key", "vec_key", "chunk_id", "data", "code"])
+                    if v != b:
+                        guest.append(i), to.append(own)
+                        continue
+                    for c in where[v]:  # as one of the block's vectors it is in each copy
+                        row.append(i), slot.append(c), asks.append(c == own)
+            row, guest = np.array(row, np.int64), np.array(guest, np.int64)
+            vec, own, lists = matrix(batch.column("vec")), batch.column("own").to_numpy(), batch.column("list").to_numpy()
+            data = pa.concat_arrays([packed(vec[row], own[row], lists[row], np.array(asks, bool)), shortened(vec, own, lists, guest)])
+            short = np.arange(len(row) + len(guest)) >= len(row)  # names and codes are for the base
+            row = np.concatenate([row, guest])
+            name, code = (batch.column(c).take(pa.array(row, mask=short)) for c in ("chunk_id", "code"))
+            key = pa.array(np.array(slot + to, np.int32) << 1 | short.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([key, batch.column("vec_key").take(pa.array(row)), name, data, code], names=["key", "vec_key", "chunk_id", "data", "code"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, kept, base = None, [], None
 
-        def ask(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            keys = t.column("vec_key").to_numpy()
-            lists, names = t.column("list").to_numpy(), t.column("chunk_id").combine_chunks()
-            for q, b, cosine in base.near(matrix(t.column("vec")), t.column("own").to_numpy(), keys, k, least):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[q]), names.take(pa.array(q, mask=base.probes(b, lists[q]))), pa.array(base.key[b]), base.name.take(pa.array(b)), pa.array(cosine)], names=["vec_key", "vec_id", "other_key", "other_id", "cosine"])
+        def ask(t: pa.Table, error: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+            keys, lists, names = t.column("vec_key").to_numpy(), t.column("list").to_numpy(), t.column("chunk_id").combine_chunks()
+            raw = matrix(t.column("vec")) if error is None else restored(t.column("vec"))
+            met = list(base.near(raw, t.column("own").to_numpy(), keys, k, least, error))
+            if not met:
+                return
+            q, b, cosine = (np.concatenate(c) for c in zip(*met))
+            order = np.lexsort((base.rank[b], -cosine, q))
+            q, b, cosine = q[order], b[order], cosine[order]
+            off = np.zeros(len(q)) if error is None else error[q]
+            mirrored = ~base.probes(b, lists[q])
+            keep = among_best(q, cosine, off, k) | mirrored
+            q, b, cosine, off, mirrored = q[keep], b[keep], cosine[keep], off[keep], mirrored[keep]
+            other_id = base.name.take(pa.array(b, mask=off > 0))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[q]), names.take(pa.array(q, mask=~mirrored)), pa.array(base.key[b]), other_id, pa.array(cosine), pa.array(off), pa.array(mirrored)], names=["vec_key", "vec_id", "other_key", "other_id", "cosine", "error", "mirrored"])
 
         def settled() -> Iterator[pa.RecordBatch]:
             """The block's own vectors are all there: they become the base and ask first."""
@@ -267,43 +322,69 @@ def answered(placed: DataFrame, shared, asked: dict[int, int], k: int, least: fl
 
         for batch in batches:
             code = batch.column("key").to_numpy()
-            vec, own, lists, asks = unpacked(batch.column("data"))
-            columns = [batch.column("vec_key"), batch.column("chunk_id"), vec, own, lists, asks, batch.column("code")]
-            t = pa.Table.from_arrays(columns, names=["vec_key", "chunk_id", "vec", "own", "list", "asks", "code"])
             cuts = np.flatnonzero(np.diff(code)) + 1 if len(code) else []
             for lo, hi in zip([0, *cuts], [*cuts, len(code)]):
                 if lo == hi:
                     continue
-                which, role = int(code[lo]) >> 1, int(code[lo]) & 1
+                which, role, part = int(code[lo]) >> 1, int(code[lo]) & 1, batch.slice(lo, hi - lo)
                 if which != key:
                     if kept:
                         yield from settled()
                     key, base = which, None
                 if role == 0:
-                    kept.append(t.slice(lo, hi - lo))
+                    columns = [part.column("vec_key"), part.column("chunk_id"), *unpacked(part.column("data")), part.column("code")]
+                    kept.append(pa.Table.from_arrays(columns, names=["vec_key", "chunk_id", "vec", "own", "list", "asks", "code"]))
                     continue
                 if kept:
                     yield from settled()
                 if base is not None:  # else no vector is in the block
-                    for at in range(lo, hi, 1024):
-                        yield from ask(t.slice(at, min(1024, hi - at)))
+                    rows = np.frombuffer(b"".join(part.column("data").to_pylist()), SHORT)
+                    columns = [part.column("vec_key"), part.column("chunk_id"), part.column("data"), *(pa.array(np.ascontiguousarray(rows[c])) for c in ("own", "list"))]
+                    t, error = pa.Table.from_arrays(columns, names=["vec_key", "chunk_id", "vec", "own", "list"]), rows["error"].astype(np.float64)
+                    for at in range(0, hi - lo, 1024):
+                        yield from ask(t.slice(at, 1024), error[at : at + 1024])
         if kept:
             yield from settled()
 
     sent = "key int, vec_key long, chunk_id string, data binary, code binary"
     each = placed.mapInArrow(send, sent).repartition(tasks, F.shiftright("key", 1)).sortWithinPartitions("key")
-    return written(each.mapInArrow(search, "vec_key long, vec_id string, other_key long, other_id string, cosine double"), "neighbours")
+    return written(each.mapInArrow(search, "vec_key long, vec_id string, other_key long, other_id string, cosine double, error double, mirrored boolean"), "neighbours")
 
 
 #: A row's vector, its similarity to its own centroid, its list, and whether it asks in this task, in one field.
 PACKED = np.dtype([("vec", np.float32, DIMENSION), ("own", np.float32), ("list", np.int32), ("asks", np.bool_)])
 
 
+#: A visiting query: its unit vector in steps of `step`, the length of the rest (with room for rounding), and the same.
+SHORT = np.dtype([("vec", np.int8, DIMENSION), ("step", np.float32), ("error", np.float32), ("own", np.float32), ("list", np.int32)])
+
+
+def shortened(vec: np.ndarray, own: np.ndarray, lists: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The vectors in rows `at` as SHORT."""
+    some, back = np.unique(at, return_inverse=True)
+    x, rows = unit(vec[some]), np.empty(len(some), SHORT)
+    rows["step"] = np.abs(x).max(1) / 127 if len(x) else 0
+    step = rows["step"].astype(np.float64)[:, None]
+    rows["vec"] = np.clip(np.rint(x / step), -127, 127)
+    rows["error"] = np.linalg.norm(x - rows["vec"] * step, axis=1) + 2e-6
+    rows["own"], rows["list"] = own[some], lists[some]
+    return fields(rows[back])
+
+
+def restored(data: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    rows = np.frombuffer(b"".join(data.to_pylist()), SHORT)
+    return rows["vec"] * rows["step"].astype(np.float64)[:, None]
+
+
+def fields(rows: np.ndarray) -> pa.Array:
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows.tobytes())])
+
+
 def packed(vec: np.ndarray, own: np.ndarray, lists: np.ndarray, asks: np.ndarray) -> pa.Array:
     rows = np.empty(len(vec), PACKED)
     rows["vec"], rows["own"], rows["list"], rows["asks"] = vec, own, lists, asks
-    ends = np.arange(len(rows) + 1, dtype=np.int32) * PACKED.itemsize
-    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows.tobytes())])
+    return fields(rows)
 
 
 def unpacked(data: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array, pa.Array]:

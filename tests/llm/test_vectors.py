@@ -77,6 +77,40 @@ def test_a_third_in_one_dense_group(spark, monkeypatch, block, asked):
     assert n > 9900 and found >= 0.99 and right >= 0.99
 
 
+def shuffled(spark):
+    """Bytes that each stage so far wrote for a shuffle."""
+    gateway = spark.sparkContext._gateway
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return {(s := stages.apply(k)).stageId(): s.shuffleWriteBytes() for k in range(stages.size())}
+
+
+def test_queries_travel_short_and_nothing_is_lost(spark, monkeypatch):
+    """Every vector visits all blocks: the visits are far below whole vectors, and neighbours closer to each other than the steps of a short vector come out in order."""
+
+    def all_lists(self, *_):
+        self.slack = 2.0
+        return 3.0
+
+    monkeypatch.setattr(similar, "PER_LIST", 20)
+    monkeypatch.setattr(similar, "BLOCK", 150)
+    monkeypatch.setattr(similar.Index, "measured", all_lists)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(4, 64))
+    x = np.concatenate([centres[k % 4] + rng.normal(size=(1, 64)) * [0.2, 0.02][k % 2] for k in range(600)] + [rng.normal(size=(900, 64))]).astype("f4")
+    names = [f"v{k * 7 % 1500:04}" for k in range(len(x))]
+    u = x.astype("f8") / np.linalg.norm(x.astype("f8"), axis=1, keepdims=True)
+    s = np.round(u @ u.T, 6)
+    np.fill_diagonal(s, -2)
+    order = np.lexsort((np.broadcast_to(np.array(names), s.shape), -s), axis=1)[:, :10]
+    want = {(names[a], names[b], r + 1): s[a, b] for a, row in enumerate(order) for r, b in enumerate(row) if s[a, b] >= 0.85}
+    before = shuffled(spark).keys()
+    rows = spark.createDataFrame([(c, "text", v.tolist(), "x", "x") for c, v in zip(names, x)], SCHEMA)
+    got = {(r.chunk_id, r.other_id, r["rank"]): r.cosine for r in similar.most_similar(rows).collect()}
+    assert len(want) == 6000 and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1.5e-6 for k in want)
+    most = max(size for stage, size in shuffled(spark).items() if stage not in before)
+    assert 1500 * 300 < most < 10 * 1500 * 150
+
+
 def test_copies_of_one_vector_do_not_fill_the_sample(spark):
     """40,000 copies of the vector of least key: the sample holds distinct vectors, so the others' neighbours are found."""
     import xxhash
